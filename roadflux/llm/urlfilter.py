@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_UPPER, rekey
+from .common import ASCII_UPPER, checkpointed, rekey
 from .components import connected_components
 
 MAX_RULES = 1000
@@ -78,13 +78,14 @@ def judged(pages: DataFrame, rules: Rules, redirects: DataFrame | None = None) -
     if redirects is not None:
         links = links.unionByName(redirects.select(F.col("src").cast("string"), F.col("dst").cast("string")))
     links = links.where("src is not null and dst is not null")
-    tied = with_parts(with_parts(links, "src", "s_"), "dst", "d_")
+    # a checkpoint, as filters on the nodes would otherwise be pushed below and repeat all of this
+    tied = checkpointed(with_parts(with_parts(links, "src", "s_"), "dst", "d_").select("src", "dst", "s_node", "d_node"))
     parts = connected_components(tied.select(F.col("s_node").alias("u"), F.col("d_node").alias("v")))
 
     def with_hit(df: DataFrame) -> DataFrame:
         return with_parts(df, "url").withColumn("hit", fitting_rule(rules, F.col("host"), F.col("path")))
 
-    ends = with_hit(links.select(F.explode(F.array("src", "dst")).alias("url"))).where("hit is not null")
+    ends = with_hit(tied.select(F.explode(F.array("src", "dst")).alias("url"))).where("hit is not null")
     told = ends.groupBy("node").agg(F.max(F.col("hit.verdict") == "allow").alias("allow"), F.max(F.col("hit.verdict") == "block").alias("block"))
     whole = parts.join(told.select(rekey("node"), "allow", "block"), "node").groupBy("component").agg(F.max("allow").alias("allow"), F.max("block").alias("block"))
     aliases = parts.join(whole.select(rekey("component"), "allow", "block"), "component", "left").select(rekey("node"), "component", "allow", "block")
