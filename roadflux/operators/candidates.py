@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadflux.functions.geo import with_utm
 from roadflux.sources.readers import line_segments
+from roadflux.storage import materialize
 
 
 def centroids(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def nearest_edges(points: DataFrame, middles: DataFrame, k: int = 3, cell: float
     around it; it is done once its k-th distance is within the looked-at
     square, else it is asked again with doubled cells.  Ties go to the lower (u, v, key).
     """
-    left, out = points, None
+    left, middles, out = materialize(points), materialize(middles), None
     total = middles.count()
     for turn in range(rounds):
         size = cell * 2**turn
@@ -49,9 +50,9 @@ def nearest_edges(points: DataFrame, middles: DataFrame, k: int = 3, cell: float
         # the square reaches at least ``size`` beyond the place on every side
         kept = met.groupBy("latitude", "longitude").agg(F.slice(F.array_sort(F.collect_list(F.struct("d2", "u", "v", "key"))), 1, k).alias("edges"))
         enough = (F.size("edges") >= min(k, total)) & (F.element_at("edges", -1)["d2"] <= size * size)
-        done = kept.where(enough) if turn < rounds - 1 else kept
+        done = materialize(kept.where(enough) if turn < rounds - 1 else kept)
         out = done if out is None else out.unionByName(done)
-        left = left.join(done.select("latitude", "longitude"), ["latitude", "longitude"], "left_anti")
+        left = materialize(left.join(done.select("latitude", "longitude"), ["latitude", "longitude"], "left_anti"))
         if left.isEmpty():
             break
     return out

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadflux.storage import materialize
+
 MAX_EDGES = 2_000_000
 PATH = "graph string, u bigint, v bigint, path array<bigint>"
 
@@ -73,13 +75,14 @@ def relaxed_paths(wanted: DataFrame, roads: DataFrame, rounds: int = 100_000) ->
     """The same by relaxing distances from all origins at once, one join a round."""
     steps = roads.select("graph", F.col("u").alias("at"), F.col("v").alias("to"), "length")
     known = wanted.select("graph", "u").distinct().select("graph", "u", F.col("u").alias("at"), F.lit(0.0).alias("far"), F.lit(-1).cast("bigint").alias("before"))
-    known = known.checkpoint()
+    known = materialize(known)
     front = known
     for _ in range(rounds):
         reach = front.join(steps, ["graph", "at"]).select("graph", "u", F.col("to").alias("at"), (F.col("far") + F.col("length")).alias("far"), F.col("at").alias("before"))
         best = reach.unionByName(known).groupBy("graph", "u", "at").agg(F.min(F.struct("far", "before")).alias("b"))
-        best = best.select("graph", "u", "at", "b.far", "b.before").checkpoint()
-        front = best.join(known, ["graph", "u", "at", "far", "before"], "left_anti").checkpoint()
+        best = best.select("graph", "u", "at", "b.far", "b.before")
+        best = materialize(best)
+        front = materialize(best.join(known, ["graph", "u", "at", "far", "before"], "left_anti"))
         known = best
         if front.isEmpty():
             break
@@ -90,7 +93,7 @@ def relaxed_paths(wanted: DataFrame, roads: DataFrame, rounds: int = 100_000) ->
         ended = walk.where("at = -1").select("graph", "u", "v", "path")
         done = ended if done is None else done.unionByName(ended)
         walk = walk.where("at != -1").join(known.select("graph", "u", "at", "before"), ["graph", "u", "at"])
-        walk = walk.select("graph", "u", "v", F.concat(F.array("at"), "path").alias("path"), F.col("before").alias("at")).checkpoint()
+        walk = materialize(walk.select("graph", "u", "v", F.concat(F.array("at"), "path").alias("path"), F.col("before").alias("at")))
         if walk.isEmpty():
             break
     return done

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from roadflux.functions.geo import segment_distance, with_utm
 from roadflux.sources.readers import line_segments
+from roadflux.storage import materialize
 
 RADIUS_M = 100.0
 
@@ -45,7 +46,7 @@ def flag_infrastructure(pings: DataFrame, subway: DataFrame, bus: DataFrame, rad
 
     Only distinct places are tested, so a place visited a million times costs one test.
     """
-    places = with_utm(pings.select("latitude", "longitude").distinct(), "latitude", "longitude", "x", "y")
+    places = materialize(with_utm(pings.select("latitude", "longitude").distinct(), "latitude", "longitude", "x", "y"))
     out = pings
     for name, lines in (("near_subway_line", subway), ("near_bus_route", bus)):
         near = within(places, planar_segments(lines), ["latitude", "longitude"], radius).withColumn(name, F.lit(1))
@@ -59,16 +60,16 @@ def nearest_line(points: DataFrame, segments: DataFrame, key: str, cell: float =
     Cells double until a line lies within the cell's size, which makes it
     certainly the nearest; points that no round decides are given a null line.
     """
-    left, out = points.select(key, "x", "y"), None
+    left, out = materialize(points.select(key, "x", "y")), None
     for turn in range(rounds):
         size = cell * 2**turn
         grid = _cells(segments, size)
         met = left.withColumns({"cx": F.floor(F.col("x") / size), "cy": F.floor(F.col("y") / size)}).join(grid, ["cx", "cy"])
         met = met.withColumn("distance_m", segment_distance(*[F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")])).where(F.col("distance_m") <= size)
         found = met.groupBy(key).agg(F.min(F.struct("distance_m", "line_id")).alias("b")).select(key, F.col("b.line_id").alias("line_id"), F.col("b.distance_m").alias("distance_m"))
-        found = found.checkpoint() if found.sparkSession.sparkContext.getCheckpointDir() else found
+        found = materialize(found)
         out = found if out is None else out.unionByName(found)
-        left = left.join(found.select(key), key, "left_anti")
+        left = materialize(left.join(found.select(key), key, "left_anti"))
         if left.isEmpty():
             return out
     return out.unionByName(left.select(key, F.lit(None).cast("bigint").alias("line_id"), F.lit(None).cast("double").alias("distance_m")))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from roadflux.functions import clock, wkt
 from roadflux.functions.bins import speed_limit
 from roadflux.operators.paths import path_edges, path_lengths, shortest_paths
+from roadflux.storage import materialize
 
 GOOD_ENOUGH, SHORT_EDGE_M = 0.15, 250.0
 DAY = ["caid", "date"]
@@ -186,10 +187,8 @@ def edge_rows(legs_: DataFrame, choice: DataFrame, paths: DataFrame, edges: Data
 
 def complete_routes(pings: DataFrame, edges: DataFrame, nodes: DataFrame, compat: bool = False) -> DataFrame:
     """pings with trip, mode and candidate nodes to route rows, keyed by (caid, date, row, i)."""
-    own = legs(pings).withColumn("caid", F.col("caid").cast("string"))
+    own = materialize(legs(pings).withColumn("caid", F.col("caid").cast("string")))
     options = pairs(own)
-    paths = shortest_paths(options.select("graph", "u", "v"), edges)
-    if paths.sparkSession.sparkContext.getCheckpointDir():
-        paths = paths.checkpoint()  # read by three joins
-    choice = continue_routes(own, scored_pairs(options, path_lengths(paths, edges)))
+    paths = materialize(shortest_paths(options.select("graph", "u", "v"), edges))
+    choice = materialize(continue_routes(own, scored_pairs(options, path_lengths(paths, edges))))
     return edge_rows(own, choice, paths, edges, nodes).unionByName(fallback_rows(own, choice, nodes, compat))

@@ -13,6 +13,7 @@ from roadflux.functions.geo import with_utm
 from roadflux.operators import candidates, emissions, flatten, modes, paths, prep, proximity, reports, routing, trips
 from roadflux.sources import fixtures as fx
 from roadflux.sources import sinks
+from roadflux.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,7 +156,7 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def driving_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, nodes = fx.lattice_edges(spark), fx.lattice_nodes(spark)
-    return routing.legs(candidates.with_candidates(segmented(spark, sf_dir).withColumn("mode", F.lit("Carro")), edges, nodes))
+    return materialize(routing.legs(candidates.with_candidates(segmented(spark, sf_dir).withColumn("mode", F.lit("Carro")), edges, nodes)))
 
 
 def fixed_steps(spark: SparkSession) -> DataFrame:
