@@ -138,7 +138,7 @@ class KneserNey:
             packed = np.unique(np.concatenate([p[m - 1][0] for p in per_order])) if langs else np.zeros(0, _U)
             contexts = np.unique(packed >> _U(16))
             prob, gamma = np.zeros((len(packed), size)), np.ones((len(contexts), size))
-            below = np.tile(np.exp(self.floor), (len(packed), 1)) if lower is None else lower(packed)
+            below = np.tile(np.exp(self.floor), (len(packed), 1)) if lower is None else lower(packed & _U((1 << 16 * (m - 1)) - 1))
             for j, levels in enumerate(per_order):
                 keys, counts = levels[m - 1]
                 at = np.searchsorted(contexts, keys >> _U(16))

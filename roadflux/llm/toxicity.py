@@ -66,11 +66,11 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
-def fit_nnpu(texts: np.ndarray, slots: np.ndarray, positive: np.ndarray, prior: float, steps: int = 300, rate: float = 0.1, l1: float = 2e-4, least: int = 3) -> Linear:
+def fit_nnpu(texts: np.ndarray, slots: np.ndarray, positive: np.ndarray, prior: float, steps: int = 300, rate: float = 0.1, strength: float = 0.3, least: int = 2) -> Linear:
     """Fit on (text, slot) pairs; positive marks the texts known to be positive.
 
-    Only slots that occur in ``least`` positives or more get a weight: the
-    estimate for others would rest on one text.
+    The L1 penalty is ``strength`` over the number of texts.  Only slots that occur
+    in ``least`` positives or more get a weight: others would rest on one text.
     """
     pos = positive.astype(bool)
     frequency = np.bincount(slots[pos[texts]], minlength=1 << BITS)
@@ -81,6 +81,7 @@ def fit_nnpu(texts: np.ndarray, slots: np.ndarray, positive: np.ndarray, prior:
     at[known] = np.arange(len(known))
     keep = at[slots] >= 0
     texts, columns = texts[keep], at[slots[keep]]
+    l1 = strength / len(pos)
     n, (n_pos, n_unl) = len(pos), (int(pos.sum()), int((~pos).sum()))
     w, bias = np.zeros(len(known)), float(np.log(prior / (1 - prior)))
     first, second = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
@@ -95,9 +96,10 @@ def fit_nnpu(texts: np.ndarray, slots: np.ndarray, positive: np.ndarray, prior:
         g = np.concatenate((np.bincount(columns, grad[texts], len(known)), [grad.sum()]))
         first = 0.9 * first + 0.1 * g
         second = 0.999 * second + 0.001 * g * g
-        move = rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        scale = rate / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        move = scale * first / (1 - 0.9**step)
         w = w - move[:-1]
-        w = np.sign(w) * np.maximum(np.abs(w) - rate * l1 / np.sqrt(second[:-1] / (1 - 0.999**step) + 1e-10) * 0.1, 0)
+        w = np.sign(w) * np.maximum(np.abs(w) - scale[:-1] * l1, 0)
         bias -= move[-1]
     used = np.flatnonzero(w)
     return Linear(known[used], w[used], float(bias))
