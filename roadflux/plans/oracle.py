@@ -110,7 +110,7 @@ KNN = ", ".join(
         """cand AS (SELECT lat, lon, list_sort(list_distinct(flatten(list([u, v])))) AS nodes FROM near3 GROUP BY ALL)""",
     ]
 )
-DISTANCES = """dist AS (
+KEYED_DISTANCES = """dist(graph, src, node, far) USING KEY (graph, src, node) AS (
       SELECT graph, u AS src, u AS node, CAST(0 AS DOUBLE) AS far FROM (SELECT DISTINCT graph, u FROM origin)
       UNION
       SELECT d.graph, d.src, e.v, min(d.far + e.length) FROM dist d JOIN edges e ON e.graph = d.graph AND e.u = d.node
@@ -121,6 +121,15 @@ LEGS = """ranked AS (SELECT seg.*, row_number() OVER w AS row, lead(lt) OVER w A
       LEFT JOIN cand a ON a.lat = r.lat AND a.lon = r.lon LEFT JOIN cand b ON b.lat = r.lat_next AND b.lon = r.lon_next WHERE lt_next IS NOT NULL)"""
 PAIRS = """od AS (SELECT caid, day, row, m, leg_s, u, i, unnest(ends) AS v, generate_subscripts(ends, 1) AS j FROM (SELECT *, unnest(starts) AS u, generate_subscripts(starts, 1) AS i FROM legs WHERE trip > 0)),
     origin AS (SELECT DISTINCT 'drive' AS graph, u FROM od)"""
+SCORED = """sc AS (SELECT od.*, far, abs(CASE WHEN m > 0 THEN far / m ELSE 1 END - 1) AS score, CASE WHEN leg_s > 0 THEN (far / 1000) / (leg_s / 3600) ELSE 0 END > 150 AS too_fast FROM od JOIN dist ON src = u AND node = v WHERE u <> v)"""
+# the day's fold: a leg of the same trip starts where the leg before ended
+FOLD = """fold AS (
+      SELECT DISTINCT caid, day, CAST(0 AS BIGINT) AS row, CAST(NULL AS INTEGER) AS trip, CAST(NULL AS BIGINT) AS node, CAST(NULL AS STRUCT(u BIGINT, v BIGINT, f BOOLEAN)) AS b, CAST(NULL AS BIGINT) AS start FROM legs
+      UNION ALL
+      SELECT caid, day, row, trip, b.v, b, coalesce(held, first) FROM (
+        SELECT x.*, (SELECT min_by(struct_pack(u := u, v := v, f := too_fast), struct_pack(late := score >= 0.15, s := CASE WHEN score < 0.15 THEN 0 ELSE score END, i := i, j := j))
+                     FROM sc WHERE sc.caid = x.caid AND sc.day = x.day AND sc.row = x.row AND (x.held IS NULL OR sc.u = x.held)) AS b
+        FROM (SELECT l.caid, l.day, l.row, l.trip, starts[1] AS first, CASE WHEN l.trip = f.trip THEN f.node END AS held FROM fold f JOIN legs l ON l.caid = f.caid AND l.day = f.day AND l.row = f.row + 1) x))"""
 
 SEG = """segs AS (SELECT *, CAST(l_orderkey AS VARCHAR) AS caid, l_linenumber * CASE WHEN l_returnflag = 'N' AND l_linenumber >= 6 THEN -1 ELSE 1 END AS trip,
       CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST(l_partkey % 24 AS INTEGER)) AS lt, l_quantity * 3 - 3 AS kmh, l_extendedprice / 100 AS m,
@@ -224,11 +233,10 @@ ORACLES = {
     "ping_burst_counts": w(GAPS, "SELECT count(*) AS pings, " + ", ".join(f"count(*) FILTER (gap <= {s}) AS within_{s}s" for s in (1, 5, 10)) + ", " + ", ".join(f"round(count(*) FILTER (gap <= {s}) * 100e0 / count(*), 6) AS pct_{s}s" for s in (1, 5)) + " FROM gaps"),
     "stage_counts": w(", ".join([raw(), THIN, FENCE, DENSE, DAYS]), "SELECT (SELECT count(*) FROM raw) AS raw, (SELECT count(*) FROM thin) AS thinned, (SELECT count(*) FROM dense) AS filtered, (SELECT count(*) FROM days) AS kept, (SELECT CAST(min(day) AS VARCHAR) FROM days) AS first_day, (SELECT CAST(max(day) AS VARCHAR) FROM days) AS last_day, round(((SELECT count(*) FROM raw) - (SELECT count(*) FROM thin)) * 100e0 / (SELECT count(*) FROM raw), 6) AS noise_pct"),
     "knn_edge_candidates": w(", ".join([raw(), THIN, FENCE, PLACES, LATTICE, KNN]), "SELECT round(lat, 4) AS latitude, round(lon, 4) AS longitude, array_to_string(nodes, ',') AS nodes FROM cand"),
-    "shortest_path_lengths": w(", ".join([LATTICE, "origin AS (SELECT graph, node AS u FROM nodes WHERE node % 40 = 0)", DISTANCES.replace("dist AS (", "dist(graph, src, node, far) USING KEY (graph, src, node) AS (")]), "SELECT graph, src AS u, node AS v, round(far, 6) AS length_m FROM dist WHERE src <> node", True),
-    "route_pair_selection": w(", ".join([_ROUTES, PAIRS, DISTANCES.replace("dist AS (", "dist(graph, src, node, far) USING KEY (graph, src, node) AS (")]),
-        """, sc AS (SELECT od.*, far, abs(CASE WHEN m > 0 THEN far / m ELSE 1 END - 1) AS score, CASE WHEN leg_s > 0 THEN (far / 1000) / (leg_s / 3600) ELSE 0 END > 150 AS too_fast FROM od JOIN dist ON src = u AND node = v WHERE u <> v)
-        SELECT caid, CAST(day AS VARCHAR) AS day, CAST(row AS INTEGER) AS row, u, v, round(far, 6) AS length_m, round(score, 6) AS score, too_fast FROM sc
+    "shortest_path_lengths": w(", ".join([LATTICE, "origin AS (SELECT graph, node AS u FROM nodes WHERE node % 40 = 0)", KEYED_DISTANCES]), "SELECT graph, src AS u, node AS v, round(far, 6) AS length_m FROM dist WHERE src <> node", True),
+    "route_pair_selection": w(", ".join([_ROUTES, PAIRS, KEYED_DISTANCES, SCORED]), """SELECT caid, CAST(day AS VARCHAR) AS day, CAST(row AS INTEGER) AS row, u, v, round(far, 6) AS length_m, round(score, 6) AS score, too_fast FROM sc
         QUALIFY row_number() OVER (PARTITION BY caid, day, row ORDER BY score >= 0.15, CASE WHEN score < 0.15 THEN 0 ELSE score END, i, j) = 1""", True),
+    "route_continuity": w(", ".join([_ROUTES, PAIRS, KEYED_DISTANCES, SCORED, FOLD]), "SELECT caid, CAST(day AS VARCHAR) AS day, CAST(row AS INTEGER) AS row, b.u AS u, b.v AS v, start, b.f AS too_fast FROM fold WHERE row > 0", True),
     "edge_time_allocation": w(", ".join([LATTICE, FIXED]), """, cl AS (SELECT *, coalesce(sum(CAST(round(alloc * 1e6) AS BIGINT)) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone FROM sp)
         SELECT row, CAST(i AS INTEGER) AS i, round(alloc, 6) AS alloc_s, round(kmh, 6) AS edge_kmh, strftime(TIMESTAMP '2024-01-01 06:00:00' + to_minutes(CAST(row AS INTEGER)) + to_microseconds(CAST(gone AS BIGINT)), '%Y-%m-%d %H:%M:%S.%f') AS edge_time FROM cl"""),
     "route_physics_correction": w(", ".join([LATTICE, FIXED]), """SELECT row, CAST(i AS INTEGER) AS i, round(CASE WHEN NOT (too_fast OR kmh > lim) THEN kmh WHEN length <= 250 THEN lim ELSE 0 END, 6) AS speed_out,
