@@ -78,6 +78,7 @@ class ByteBpe:
         self.split = regex.compile(pattern).findall
         self.ranks, self.bytes_of = ranks, sorted(ranks, key=ranks.get)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(ranks))
+        self.names = [str(i) for i in range(len(ranks))]
         self.known: dict[str, tuple[int, ...]] = {}
 
     def _pieces(self, pieces: list[str]) -> list[list[int]]:
@@ -88,19 +89,28 @@ class ByteBpe:
 
     def encode(self, text: str) -> list[int]:
         pieces = self.split(text)
+        try:
+            return list(chain.from_iterable(map(self.known.__getitem__, pieces)))
+        except KeyError:
+            return self._learn(pieces)
+
+    def _learn(self, pieces: list[str]) -> list[int]:
         known = self.known
         new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(dict.fromkeys(pieces))
-            known.update(zip(new, map(tuple, self._pieces(new)), strict=True))
+        if len(known) + len(new) > CACHE:
+            known.clear()
+            new = list(dict.fromkeys(pieces))
+        known.update(zip(new, map(tuple, self._pieces(new)), strict=True))
         ids = list(chain.from_iterable(map(known.__getitem__, pieces)))
         for p in new:
             if len(p) > CACHED_CHARS:
                 del known[p]
         return ids
 
+    def digest(self, ids: list[int]) -> str:
+        """SHA-256 of the decimal ids joined by one blank."""
+        return hashlib.sha256(" ".join(map(self.names.__getitem__, ids)).encode()).hexdigest()
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -135,9 +145,8 @@ def encoded(docs: DataFrame, path: str | None = None, pattern: str | None = None
                 out: list[tuple] = []
                 for text in part["text"]:
                     found = bpe.encode(text.as_py() or "")
-                    digest = hashlib.sha256(" ".join(map(str, found)).encode()).hexdigest()
                     back = hashlib.sha256(bpe.decode(found)).hexdigest()
-                    out.append((len(found), digest, back, found if ids else None))
+                    out.append((len(found), bpe.digest(found), back, found if ids else None))
                 n, digests, backs, lists = map(list, zip(*out, strict=True))
                 columns = [part["row"], pa.array(n, pa.int64()), pa.array(digests), pa.array(backs)]
                 names = ["row", "n_tokens", "ids_sha256", "decoded_sha256"]
