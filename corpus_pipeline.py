@@ -16,16 +16,24 @@ from roadflux.llm.common import learns, read
 from roadflux.llm.warc import scratch_folder
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Whole rows as one column beside what a stage reads, so that no name of a document column can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text", "lang")
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.3 or more; the classifier learns from the labelled rows outside fold 0."""
     model = quality.train(docs, read(spark, sf_dir, "labels"), learns("doc_id", 5) != 0)
-    return quality.with_score(docs, model, docs.columns).where("score >= 0.3").drop("score")
+    return unpacked(quality.with_score(packed(docs), model, ["row"]).where("score >= 0.3"), docs)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the corpus teaches; the letterless and the alien go."""
-    found = langid.identify(docs, F.col("lang").isNotNull(), docs.columns)
-    return found.where("not rejected").select(*docs.columns)
+    return unpacked(langid.identify(packed(docs), F.col("lang").isNotNull(), ["row"]).where("not rejected"), docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,12 +31,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from .common import checkpointed
 from .vectext import mix
 
 ORDER = 4
 CHUNK = 1 << 19
+MAX_CELLS = 1 << 26  # n-grams times languages: 256 MB of log probabilities at the top order
 LENGTHS = np.array([16, 64, 256, 1024, 1 << 62])  # calibration classes by folded length
 _U = np.uint64
 
@@ -217,8 +219,29 @@ class KneserNey:
         return np.unique(found, return_inverse=True)
 
 
-def train(docs: DataFrame) -> KneserNey:
-    table = counted(docs).toArrow()
+def within_size(table: DataFrame, max_cells: int) -> DataFrame:
+    """The table, if its rows times its languages are at most ``max_cells``; else without its rarest n-grams.
+
+    The model goes to driver and executors, so its size must not follow the
+    corpus for ever.  Every text is counted either way; beyond the bound a count
+    cut-off, the least that suffices, is applied to all languages alike.
+    """
+    sizes = table.groupBy("n").agg(F.count("*").alias("rows")).orderBy(F.desc("n"))
+    langs = table.select("lang").distinct().count()
+    if table.count() * langs <= max_cells:
+        return table
+    low, high = 1, table.agg(F.max("n")).first()[0] + 1
+    while low < high:  # a search over the cut-off, each step a sum over the counts of counts
+        mid = (low + high) // 2
+        if (sizes.where(F.col("n") >= mid).agg(F.sum("rows")).first()[0] or 0) * langs <= max_cells:
+            high = mid
+        else:
+            low = mid + 1
+    return table.where(F.col("n") >= low)
+
+
+def train(docs: DataFrame, max_cells: int = MAX_CELLS) -> KneserNey:
+    table = within_size(checkpointed(counted(docs)), max_cells).toArrow()
     lang = np.array(table["lang"].to_pylist(), object)
     keys, n = table["gram"].to_numpy().view(_U), table["n"].to_numpy()
     langs = sorted(set(lang.tolist()))
@@ -259,8 +282,7 @@ def _entropies(model: KneserNey, texts: list[str | None]) -> tuple[np.ndarray, n
 def scored(docs: DataFrame, model: KneserNey, keep: list[str], text: str = "text") -> DataFrame:
     """keep + (lang_best, entropy, length, score): struct columns are carried untouched."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kinds = dict(docs.dtypes)
-    row = F.struct(*[F.col(f"`{c}`") for c in keep])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(text).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -278,8 +300,8 @@ def scored(docs: DataFrame, model: KneserNey, keep: list[str], text: str = "text
                     low, score, names = np.zeros(len(none)), np.zeros(len(none)), np.full(len(none), "und", object)
                 yield pa.record_batch([part["_row"], pa.array(names.tolist(), pa.string()), pa.array(low), pa.array(lengths), pa.array(np.where(none, 0.0, score))], ["_row", "lang_best", "entropy", "length", "score"])
 
-    schema = "_row struct<" + ", ".join(f"`{c}`: {kinds[c]}" for c in keep) + ">, lang_best string, entropy double, length bigint, score double"
-    out = docs.select(row.alias("_row"), F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
+    found = [StructField("lang_best", StringType()), StructField("entropy", DoubleType()), StructField("length", LongType()), StructField("score", DoubleType())]
+    out = rows.mapInArrow(run, StructType([rows.schema["_row"], *found]))
     return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in keep], "lang_best", "entropy", "length", "score")
 
 

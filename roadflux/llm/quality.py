@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from .vectext import chunks, words
 
@@ -186,8 +187,6 @@ def with_score(docs: DataFrame, model: AttentionMil, keep: list[str]) -> DataFra
         for batch in batches:
             yield pa.record_batch([batch["_row"], pa.array(shared.value.score(batch["_text"]))], ["_row", "_score"])
 
-    kinds = dict(docs.dtypes)
-    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row")
-    schema = "_row struct<" + ", ".join(f"`{c}`: {kinds[c]}" for c in keep) + ">, _score double"
-    out = docs.select(row, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col("text").cast("string").alias("_text"))
+    out = rows.mapInArrow(run, StructType([rows.schema["_row"], StructField("_score", DoubleType())]))
     return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in keep], F.col("_score").alias("score"))

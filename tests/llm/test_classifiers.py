@@ -174,6 +174,16 @@ def test_model_equals_textbook(spark):
         assert entropy[0, 0] * lengths[0] == pytest.approx(-want, rel=1e-4)
 
 
+def test_model_size_is_bounded(spark):
+    table = langid.counted(spark.createDataFrame([(t, lang) for _, t, lang in language_rows()], "text string, lang string"))
+    whole = table.count()
+    assert langid.within_size(table, whole * 3).count() == whole
+    small = langid.within_size(table, whole).count()
+    assert 0 < small * 3 <= whole
+    least = table.orderBy("n", ascending=False).limit(small).agg({"n": "min"}).first()[0]
+    assert langid.within_size(table, whole).agg({"n": "min"}).first()[0] == least
+
+
 def test_long_texts_are_cut_without_a_trace(monkeypatch):
     code = langid.folded("the quick brown fox jumps over the lazy dog " * 9)
     whole = langid.grams(code)
