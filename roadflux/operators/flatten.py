@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadflux.storage import materialize
+
 TEXT = ["caid", "start_node", "end_node", "osmid", "highway", "geometry", "mode"]
 NUMBERS = ["latitude", "longitude", "speed_kmh", "distance_m"]
 FLAGS = ["failed", "corrected"]
@@ -36,3 +38,16 @@ def export_names(df: DataFrame) -> DataFrame:
 
 def engine_names(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({v: k for k, v in EXPORT.items()})
+
+
+def with_ordinal(df: DataFrame, keys: list[str], name: str = "orden_original") -> DataFrame:
+    """df with 0, 1, 2, ... in the order of ``keys``, which must be unique.
+
+    Ranges of keys are sorted by themselves and then numbered on from the sizes
+    of the ranges before, so no task sees the whole table, as row_number() would.
+    """
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged = materialize(ranged.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))}))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a partition
+    offsets = ranged.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return ranged.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + F.col("_at")).drop("_part", "_at", "_before")

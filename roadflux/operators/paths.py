@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,24 @@ def usable(edges: DataFrame) -> DataFrame:
     return edges.groupBy("graph", "u", "v").agg(F.min(F.coalesce("length", F.lit(0.0))).alias("length"))
 
 
-def dijkstra(adjacency: dict[int, list[tuple[int, float]]], origin: int, goals: set[int]) -> dict[int, list[int]]:
+class Roads:
+    """One graph's edges as flat arrays, 16 bytes an edge, so that a broadcast stays small."""
+
+    def __init__(self, u: np.ndarray, v: np.ndarray, length: np.ndarray) -> None:
+        order = np.lexsort((v, u))
+        self.to, self.length = v[order], length[order]
+        self.nodes, self.first = np.unique(u[order], return_index=True)
+        self.last = np.append(self.first[1:], len(order))
+
+    def leaving(self, node: int) -> Iterator[tuple[int, float]]:
+        at = int(np.searchsorted(self.nodes, node))
+        if at == len(self.nodes) or self.nodes[at] != node:
+            return iter(())
+        lo, hi = self.first[at], self.last[at]
+        return zip(self.to[lo:hi].tolist(), self.length[lo:hi].tolist(), strict=True)
+
+
+def dijkstra(roads: Roads, origin: int, goals: set[int]) -> dict[int, list[int]]:
     """Node paths to the reachable goals; among equal lengths the lower predecessor wins."""
     best, before, done = {origin: 0.0}, {origin: -1}, set()
     queue, missing = [(0.0, origin)], set(goals)
@@ -36,7 +54,7 @@ def dijkstra(adjacency: dict[int, list[tuple[int, float]]], origin: int, goals:
             continue
         done.add(node)
         missing.discard(node)
-        for to, length in adjacency.get(node, ()):
+        for to, length in roads.leaving(node):
             reach = far + length
             if to not in done and (reach < best.get(to, float("inf")) or (reach == best[to] and node < before[to])):
                 best[to], before[to] = reach, node
@@ -56,16 +74,16 @@ def shortest_paths(pairs: DataFrame, edges: DataFrame, max_edges: int = MAX_EDGE
     roads = usable(edges)
     if roads.count() > max_edges:
         return relaxed_paths(wanted, roads)
-    adjacency: dict[str, dict[int, list[tuple[int, float]]]] = {}
-    for graph, u, v, length in roads.toPandas().itertuples(index=False):  # at most max_edges rows
-        adjacency.setdefault(graph, {}).setdefault(int(u), []).append((int(v), float(length)))
-    shared = pairs.sparkSession.sparkContext.broadcast(adjacency)
+    table = roads.toPandas()  # at most max_edges rows
+    graphs = {name: Roads(own["u"].to_numpy(), own["v"].to_numpy(), own["length"].to_numpy()) for name, own in table.groupby("graph")}
+    shared = pairs.sparkSession.sparkContext.broadcast(graphs)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for graph, u, goals in batch.itertuples(index=False):
-                rows += [(graph, u, v, path) for v, path in dijkstra(shared.value.get(graph, {}), u, {int(g) for g in goals}).items()]
+                if graph in shared.value:
+                    rows += [(graph, u, v, path) for v, path in dijkstra(shared.value[graph], u, {int(g) for g in goals}).items()]
             yield pd.DataFrame(rows, columns=["graph", "u", "v", "path"])
 
     return wanted.groupBy("graph", "u").agg(F.collect_list("v").alias("goals")).mapInPandas(solve, PATH)

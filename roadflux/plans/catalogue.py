@@ -255,6 +255,11 @@ def moves_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return featured(spark, sf_dir).select(*_key("Month", "Hour", "Day", "Road", "Source", "SpeedBin"), *r6("avg_speed_mph"))
 
 
+@query
+def route_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten.with_ordinal(fx.segments(spark, sf_dir), fx.ORDER).select(*_key("orden_original"))
+
+
 @query
 def rates_preaggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return emissions.preaggregate(fx.rates(spark)).select(*emissions.KEYS, *r6(*POLLUTANTS))

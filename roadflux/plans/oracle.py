@@ -244,6 +244,7 @@ ORACLES = {
     "stop_and_error_rows": w(_ROUTES, """SELECT caid, CAST(day AS VARCHAR) AS day, CAST(row AS INTEGER) AS row, trip, round(CASE WHEN trip > 0 THEN n.lat ELSE legs.lat END, 6) AS latitude, round(CASE WHEN trip > 0 THEN n.lon ELSE legs.lon END, 6) AS longitude, CAST(starts[1] AS VARCHAR) AS start_node, CAST(ends[1] AS VARCHAR) AS end_node,
         CASE WHEN trip > 0 THEN 'routing_error' ELSE 'parada_inactiva' END AS highway, trip > 0 AS failed FROM legs JOIN nodes n ON n.graph = 'drive' AND n.node = starts[1]""", True),
     "moves_features": w(", ".join([SEG, FEAT]), f'SELECT {KEY}, "Month", "Hour", "Day", "Road", "Source", "SpeedBin", round(mph, 6) AS avg_speed_mph FROM feats'),
+    "route_ordinals": w(SEG, f"SELECT {KEY}, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, segs.l_shipdate) - 1 AS orden_original FROM segs"),
     "rates_preaggregate": w(RATES, f'SELECT "Day", "Hour", "Road", "Source", "SpeedBin", {r6(*P)} FROM means'),
     "rates_exact_join": w(", ".join([SEG, FEAT, RATES, JOIN]), f'SELECT {KEY}, {r6(*P)} FROM exact WHERE "Source" > 0'),
     "rates_curve_ffill_bfill": w(", ".join([RATES, CURVE]), f'SELECT "Source", "SpeedBin", {r6(*P)} FROM curve'),
