@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from roadflux.functions import bins, clock
 from roadflux.functions.bins import POLLUTANTS
+from roadflux.storage import materialize
 
 KEYS = ["Day", "Hour", "Road", "Source", "SpeedBin"]
+MAX_RATE_ROWS = 200_000
 
 
 def features(routes: DataFrame) -> DataFrame:
@@ -53,13 +55,18 @@ def per_source(means: DataFrame) -> DataFrame:
     return means.groupBy("Source").agg(*[F.avg(p).alias(p) for p in POLLUTANTS])
 
 
+def _small(means: DataFrame) -> bool:
+    """Whether the rates are few enough to go to every executor; curves and Source means are smaller still, or 16 rows a Source."""
+    return means.limit(MAX_RATE_ROWS + 1).count() <= MAX_RATE_ROWS
+
+
 def exact_join(featured: DataFrame, means: DataFrame) -> DataFrame:
     """Every route row with its key's rates; rows without a motor get none.
 
     means has one row a key; the keys are codes (2 x 24 x 2 x sources x 16), so
-    its size does not follow the routes', and the plan may broadcast it by its size.
+    its size does not follow the routes'.  It is counted, and broadcast if it is small; else the join shuffles.
     """
-    return featured.join(means, KEYS, "left").withColumns({p: F.when(F.col("Source") > 0, F.col(p)) for p in POLLUTANTS})
+    return featured.join(F.broadcast(means) if _small(means) else means, KEYS, "left").withColumns({p: F.when(F.col("Source") > 0, F.col(p)) for p in POLLUTANTS})
 
 
 def impute(joined: DataFrame, means: DataFrame) -> DataFrame:
@@ -70,8 +77,9 @@ def impute(joined: DataFrame, means: DataFrame) -> DataFrame:
     """
     flat = lambda df, tail: df.select(*[F.col(c).alias(f"{c}{tail}") if c in POLLUTANTS else F.col(c) for c in df.columns])
     lacking = joined.where((F.col("Source") > 0) & F.col(POLLUTANTS[0]).isNull()).limit(1).agg((F.count("*") > 0).alias("_lacking"))
-    out = joined.join(flat(curves(means), "_curve"), ["Source", "SpeedBin"], "left")
-    out = out.join(flat(per_source(means), "_global"), "Source", "left").crossJoin(F.broadcast(lacking))  # one row
+    hint = F.broadcast if _small(means) else lambda df: df
+    out = joined.join(hint(flat(curves(means), "_curve")), ["Source", "SpeedBin"], "left")
+    out = out.join(hint(flat(per_source(means), "_global")), "Source", "left").crossJoin(F.broadcast(lacking))  # one row
     filled = {}
     for p in POLLUTANTS:
         cascade = F.coalesce(p, F.when(F.col("_lacking"), F.coalesce(f"{p}_curve", f"{p}_global", F.lit(0.0))))
@@ -91,5 +99,5 @@ def totals(rated: DataFrame) -> DataFrame:
 
 def emissions(routes: DataFrame, rates: DataFrame) -> DataFrame:
     """Route rows with rates and totals; the routes themselves are never shuffled."""
-    means = preaggregate(rates)
+    means = materialize(preaggregate(rates))
     return totals(impute(exact_join(features(routes), means), means))

@@ -238,7 +238,7 @@ def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def joined(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    means = emissions.preaggregate(fx.rates(spark))
+    means = materialize(emissions.preaggregate(fx.rates(spark)))
     return emissions.exact_join(featured(spark, sf_dir), means), means
 
 
