@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from .common import checkpointed, rekey
 
+EDGES_PER_TASK = 50_000
+
 
 def _minima(edges: DataFrame) -> DataFrame:
     return edges.groupBy("u").agg(F.min("v").alias("low")).select(rekey("u"), F.least("u", "low").alias("low"))
@@ -46,7 +48,9 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         if tuple(mark) == seen or not mark[0]:
             break
         seen = tuple(mark)
-        edges = checkpointed(_small_star(_large_star(edges)).distinct())
+        # rounds do not add edges; few edges need few tasks and few files
+        parts = max(1, -(-mark[0] // EDGES_PER_TASK))
+        edges = checkpointed(_small_star(_large_star(edges)).distinct().coalesce(parts))
     else:
         raise RuntimeError("connected components did not settle")
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

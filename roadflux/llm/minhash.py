@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from .common import checkpointed, rekey
 from .components import connected_components
 from .runs import by_run, reached
+from .sieve import with_maybe
 from .vectext import chunks, mix, shingle_sets, words
 
 BANDS, ROWS = 32, 4
@@ -129,7 +130,8 @@ def likely_links(classes: DataFrame, least: float, bucket_rows: int) -> DataFram
                 found.update(zip(ids[twos[near]].tolist(), ids[twos[near] + 1].tolist(), strict=True))
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 if hi - lo > 2:
-                    own, names = sigs[lo:hi], ids[lo:hi]
+                    order = lo + np.argsort(ids[lo:hi])  # the same smallest member starts in every band, so links repeat and fold
+                    own, names = sigs[order], ids[order]
                     found.update((int(names[x]), int(names[y])) for x, y in reached(hi - lo, lambda i, left, own=own: (own[left] == own[i]).mean(axis=1) >= least))
             edges = np.array(sorted(found), np.int64).reshape(-1, 2)
             yield pa.record_batch([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["u", "v"])
@@ -174,7 +176,8 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, k: int, percent: int, bl
                 yield pa.record_batch([kept["cid"], kept["component"], kept["size"], pa.array([s.tobytes() for s, x in zip(sets, own, strict=True) if x], pa.binary())], ["cid", "component", "size", "shingles"])
 
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    sets = texts.join(groups, "doc_id").select("text", "cid", "component", "size").mapInArrow(to_sets, "cid bigint, component bigint, size bigint, shingles binary")
+    likely = with_maybe(texts, "doc_id", groups, "doc_id", "_may").where("_may").drop("_may")  # most texts stay where they are
+    sets = likely.join(groups.hint("merge"), "doc_id").select("text", "cid", "component", "size").mapInArrow(to_sets, "cid bigint, component bigint, size bigint, shingles binary")
 
     def confirm(runs: Iterator) -> Iterator[pa.RecordBatch]:
         for table, cuts in runs:
@@ -197,7 +200,7 @@ def grouped(docs: DataFrame, k: int, percent: int, margin: float, bucket_rows: i
     classes = checkpointed(full.groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
     coarse = connected_components(likely_links(classes.select("cid", "bands", "sig"), percent / 100 - margin, bucket_rows))
     sized = coarse.groupBy("component").agg(F.count("*").alias("size")).select(rekey("component"), "size")
-    groups = coarse.withColumnRenamed("node", "cid").join(sized, "component").join(classes.select("cid", "doc_id"), "cid")
+    groups = checkpointed(coarse.withColumnRenamed("node", "cid").join(sized, "component").join(classes.select("cid", "doc_id"), "cid"))
     exact = connected_components(confirmed_links(docs, groups, k, percent, block_rows))
     merged = rows.select("doc_id", "text_key", "n_shingles", "cid").join(exact.select(F.col("node").alias("cid"), F.col("component")), "cid", "left")
     merged = checkpointed(merged.select("doc_id", "text_key", "n_shingles", F.coalesce("component", "cid").alias("component")))
@@ -218,12 +221,13 @@ def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80, margin: float =
     Texts without a word stay, every one of them.  Rows repeated whole count as one.
     """
     found = checkpointed(grouped(docs, k, percent, margin, bucket_rows, block_rows).where("component is not null").select("doc_id", "text_key", "first"))
-    names = docs.columns
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("text_key").eqNullSafe(F.col("first.text_key"))
-    gone = found.where(~same & F.col("first").isNotNull()).select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("text").cast("string")))
-    left = keyed.join(gone, keyed["doc_id"].cast("bigint").eqNullSafe(F.col("_gone_id")) & (keyed["_key"] == F.col("_gone_key")), "left_anti")
+    gone = checkpointed(found.where(~same & F.col("first").isNotNull()).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct())
+    text = F.col("text").cast("string")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("bigint").alias("id"), F.xxhash64(text).alias("key"), F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("worded"))
+    rows = with_maybe(rows, "key", gone, "gone_key", "may")
+    asked = rows.where("may")  # the others have no partner among the rows that go, and are not shuffled
+    left = rows.where("not may").unionByName(asked.join(gone.hint("merge"), F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("key") == F.col("gone_key")), "left_anti"))
     if not found.where(same).groupBy("doc_id", "text_key").count().where("count > 1").isEmpty():
-        worded = F.col("text").rlike("[^\\x20\\x09-\\x0D]")
-        left = left.where(worded).dropDuplicates(["doc_id", "_key"]).unionByName(left.where(~F.coalesce(worded, F.lit(False))))
-    return left.select(*[F.col(f"`{c}`") for c in names])
+        left = left.where("worded").dropDuplicates(["id", "key"]).unionByName(left.where("not worded"))
+    return left.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
