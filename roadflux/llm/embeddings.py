@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ def codes_of(unit: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray:
 
 def unit_rows(column: pa.Array) -> np.ndarray:
     """Rows of one length as unit vectors in double precision; scaled first, so no square overflows."""
-    rows = np.stack([np.asarray(x, np.float64) for x in column.to_pylist()])
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
     rows /= np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
@@ -60,7 +61,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, seed: int = 23, bl
     fine = F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.col("label").isNotNull()
     whole = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists("embedding", lambda x: x != 0)
-    rows = vectors.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<double>"), F.col("label").cast("string"))
+    rows = vectors.select(F.col("vec_id").cast("bigint"), "embedding", F.col("label").cast("string"))
     rows = rows.withColumn("cid", F.when(fine & whole & some, F.xxhash64("label", F.transform("embedding", lambda x: x + F.lit(0.0)))))
     classes = checkpointed(rows.where("cid is not null").groupBy("cid").agg(F.count("*").alias("copies"), F.first("embedding").alias("embedding"), F.first("label").alias("label")))
     largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
@@ -68,7 +69,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, seed: int = 23, bl
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lengths = np.array([len(x) for x in batch["embedding"].to_pylist()], np.int64)
+            lengths = pc.list_value_length(batch["embedding"]).to_numpy(zero_copy_only=False).astype(np.int64)
             for length in np.unique(lengths).tolist():
                 at = np.flatnonzero(lengths == length)
                 part = batch.take(pa.array(at))
@@ -85,11 +86,13 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.93, seed: int = 23, bl
     def compare(runs: Iterator) -> Iterator[pa.RecordBatch]:
         for table, cuts in runs:
             ids, weight, at_table, block, low, high = (table[c].to_numpy() for c in ("cid", "copies", "t", "block", "block_lo", "block_hi"))
+            vectors = table["embedding"].combine_chunks()
+            vectors = vectors.chunk(0) if isinstance(vectors, pa.ChunkedArray) else vectors
             out = {"cid": [], "links": [], "nbr": []}
             for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 if hi - lo < 2:
                     continue
-                unit = unit_rows(table["embedding"].slice(lo, hi - lo))
+                unit = unit_rows(vectors.slice(lo, hi - lo))
                 near = unit @ unit.T >= threshold
                 np.fill_diagonal(near, False)
                 if not near.any():
