@@ -15,7 +15,8 @@ RADIUS_M = 100.0
 def planar_segments(lines: DataFrame) -> DataFrame:
     """(line_id, seq, x1, y1, x2, y2) in metres of lines(line_id, geometry)."""
     out = with_utm(with_utm(line_segments(lines), "lat1", "lon1", "x1", "y1"), "lat2", "lon2", "x2", "y2")
-    return out.select("line_id", "seq", "x1", "y1", "x2", "y2")
+    # materialised: filters on the distance would otherwise repeat the projection inside their own expressions
+    return materialize(out.select("line_id", "seq", "x1", "y1", "x2", "y2"))
 
 
 def _cells(segments: DataFrame, size: float) -> DataFrame:

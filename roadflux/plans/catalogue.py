@@ -65,7 +65,7 @@ def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return proximity.flag_infrastructure(segmented(spark, sf_dir), fx.lines(spark, fx.METRO_LINES), fx.lines(spark, fx.BUS_LINES))
+    return proximity.flag_infrastructure(materialize(segmented(spark, sf_dir)), fx.lines(spark, fx.METRO_LINES), fx.lines(spark, fx.BUS_LINES))
 
 
 @query
@@ -156,7 +156,7 @@ def stage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def driving_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, nodes = fx.lattice_edges(spark), fx.lattice_nodes(spark)
-    return materialize(routing.legs(candidates.with_candidates(segmented(spark, sf_dir).withColumn("mode", F.lit("Carro")), edges, nodes)))
+    return materialize(routing.legs(candidates.with_candidates(materialize(segmented(spark, sf_dir).withColumn("mode", F.lit("Carro"))), edges, nodes)))
 
 
 def fixed_steps(spark: SparkSession) -> DataFrame:
@@ -206,7 +206,7 @@ def route_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def complete_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole chain: pings to completed route rows under their published names."""
     edges, nodes = fx.lattice_edges(spark), fx.lattice_nodes(spark)
-    own = candidates.with_candidates(modes.classify(flagged(spark, sf_dir)), edges, nodes)
+    own = candidates.with_candidates(materialize(modes.classify(flagged(spark, sf_dir))), edges, nodes)
     return flatten.route_table(routing.complete_routes(own, edges, nodes)).withColumn("local_timestamp", micro("local_timestamp", "t"))
 
 
