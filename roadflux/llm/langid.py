@@ -38,7 +38,6 @@ from .vectext import mix
 
 ORDER = 4
 CHUNK = 1 << 19
-MAX_CELLS = 1 << 26  # n-grams times languages: 256 MB of log probabilities at the top order
 LENGTHS = np.array([16, 64, 256, 1024, 1 << 62])  # calibration classes by folded length
 _U = np.uint64
 
@@ -139,8 +138,7 @@ class KneserNey:
         for m in range(1, order + 1):
             packed = np.unique(np.concatenate([p[m - 1][0] for p in per_order])) if langs else np.zeros(0, _U)
             contexts = np.unique(packed >> _U(16))
-            prob, gamma = np.zeros((len(packed), size)), np.ones((len(contexts), size))
-            below = np.tile(np.exp(self.floor), (len(packed), 1)) if lower is None else lower(packed & _U((1 << 16 * (m - 1)) - 1))
+            gamma, own = np.ones((len(contexts), size)), []
             for j, levels in enumerate(per_order):
                 keys, counts = levels[m - 1]
                 at = np.searchsorted(contexts, keys >> _U(16))
@@ -150,10 +148,17 @@ class KneserNey:
                 cut = ones / (ones + 2 * twos) if ones and twos else 0.5
                 with np.errstate(divide="ignore", invalid="ignore"):
                     gamma[:, j] = np.where(total > 0, cut * types / total, 1.0)
-                    where = np.searchsorted(packed, keys)
-                    prob[where, j] = np.maximum(counts - cut, 0) / total[at]
-            prob += gamma[np.searchsorted(contexts, packed >> _U(16))] * below
-            self._add(packed, np.log(prob), contexts, np.log(gamma))
+                    own.append((keys, np.maximum(counts - cut, 0) / total[at]))
+            logp = np.empty((len(packed), size), np.float32)
+            for lo in range(0, len(packed), CHUNK):  # in double precision a stretch at a time only
+                part = packed[lo : lo + CHUNK]
+                below = np.tile(np.exp(self.floor), (len(part), 1)) if lower is None else lower(part & _U((1 << 16 * (m - 1)) - 1))
+                prob = np.zeros((len(part), size))
+                for j, (keys, seen) in enumerate(own):
+                    first, end = np.searchsorted(keys, part[0]), np.searchsorted(keys, part[-1], "right")
+                    prob[np.searchsorted(part, keys[first:end]), j] = seen[first:end]
+                logp[lo : lo + CHUNK] = np.log(prob + gamma[np.searchsorted(contexts, part >> _U(16))] * below)
+            self._add(packed, logp, contexts, np.log(gamma))
             lower = lambda grams_, m=m: np.exp(self._level(grams_, m))
 
     def _orders(self, keys: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -169,7 +174,7 @@ class KneserNey:
         hashes = mix(keys + _U(1))
         at = np.argsort(hashes)
         hashes = hashes[at]
-        return hashes, values[at].astype(np.float32), np.searchsorted(hashes >> _U(48), np.arange((1 << 16) + 1, dtype=_U)).astype(np.int32)
+        return hashes, values.astype(np.float32, copy=False)[at], np.searchsorted(hashes >> _U(48), np.arange((1 << 16) + 1, dtype=_U)).astype(np.int32)
 
     def _add(self, packed: np.ndarray, logp: np.ndarray, contexts: np.ndarray, gamma: np.ndarray) -> None:
         hashes, values, heads = self._sorted(packed, logp)
@@ -222,9 +227,9 @@ class KneserNey:
 def within_size(table: DataFrame, max_cells: int) -> DataFrame:
     """The table, if its rows times its languages are at most ``max_cells``; else without its rarest n-grams.
 
-    The model goes to driver and executors, so its size must not follow the
-    corpus for ever.  Every text is counted either way; beyond the bound a count
-    cut-off, the least that suffices, is applied to all languages alike.
+    The cut-off, the least that suffices, is applied to all languages alike, so a
+    rare language can lose all it has: ``train`` does not use it and learns from
+    every n-gram at every size.
     """
     sizes = table.groupBy("n").agg(F.count("*").alias("rows")).orderBy(F.desc("n"))
     langs = table.select("lang").distinct().count()
@@ -240,14 +245,15 @@ def within_size(table: DataFrame, max_cells: int) -> DataFrame:
     return table.where(F.col("n") >= low)
 
 
-def train(docs: DataFrame, max_cells: int = MAX_CELLS) -> KneserNey:
-    table = within_size(checkpointed(counted(docs)), max_cells).toArrow()
-    lang = np.array(table["lang"].to_pylist(), object)
-    keys, n = table["gram"].to_numpy().view(_U), table["n"].to_numpy()
-    langs = sorted(set(lang.tolist()))
+def train(docs: DataFrame) -> KneserNey:
+    """The model of every n-gram of every training text; it grows with their distinct n-grams times the languages."""
+    table = checkpointed(counted(docs)).toArrow().combine_chunks()
+    lang = table["lang"].combine_chunks().dictionary_encode()
+    keys, n, codes = table["gram"].to_numpy().view(_U), table["n"].to_numpy(), lang.indices.to_numpy()
+    langs = sorted(lang.dictionary.to_pylist())
     tables = {}
     for x in langs:
-        at = np.flatnonzero(lang == x)
+        at = np.flatnonzero(codes == lang.dictionary.index(x).as_py())
         at = at[np.argsort(keys[at])]
         tables[x] = keys[at], n[at]
     return KneserNey(langs, tables)

@@ -184,6 +184,26 @@ def test_model_size_is_bounded(spark):
     assert langid.within_size(table, whole).agg({"n": "min"}).first()[0] == least
 
 
+def test_no_size_makes_the_model_drop_ngrams(spark, monkeypatch):
+    """A corpus beyond any bound, played by a cut-off at count 2: the rare language must stay whole."""
+    monkeypatch.setattr(langid, "within_size", lambda table, *_: table.where("n >= 2"))
+    rows = [("the thing that the others think " * 9, "big"), ("the other thing is there again " * 9, "big"), ("zyx wvu tsr", "rare")]
+    table = langid.counted(spark.createDataFrame(rows, "text string, lang string"))
+    assert table.where("lang = 'rare' and n >= 2").isEmpty()
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    assert model.langs == ["big", "rare"] and len(model.keys[-1]) == table.select("gram").distinct().count()
+    entropy, _ = langid._entropies(model, ["zyx wvu tsr"])
+    assert entropy[0].argmin() == 1
+
+
+def test_model_is_the_same_built_in_stretches(spark, monkeypatch):
+    docs = spark.createDataFrame([(t, lang) for _, t, lang in language_rows()], "text string, lang string")
+    whole = langid.train(docs)
+    monkeypatch.setattr(langid, "CHUNK", 37)
+    parts = langid.train(docs)
+    assert all((a == b).all() for a, b in zip(whole.logp, parts.logp, strict=True))
+
+
 def test_long_texts_are_cut_without_a_trace(monkeypatch):
     code = langid.folded("the quick brown fox jumps over the lazy dog " * 9)
     whole = langid.grams(code)
