@@ -73,6 +73,17 @@ class Myers:
         return found
 
 
+def joined(windows: list[list[int]]) -> list[list[int]]:
+    """[begin, stop] of windows in order of the text, those that overlap as one."""
+    out: list[list[int]] = []
+    for begin, stop, *_ in sorted(windows):
+        if out and begin <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], stop)
+        else:
+            out.append([begin, stop])
+    return out
+
+
 class Matcher:
     """All items of one block."""
 
@@ -105,6 +116,7 @@ class Matcher:
                 stop = last + 1 - size - at + len(self.normals[n]) + self.budgets[n]
                 own = windows.setdefault(n, [])
                 if own and begin <= own[-1][2]:  # overlapping windows of one item are verified once
+                    own[-1][0] = min(own[-1][0], begin)  # of equal pieces the one at the later offset comes last
                     own[-1][1] = max(own[-1][1], stop)
                     own[-1][2] = max(own[-1][2], begin + self.budgets[n] * 2)
                 else:
@@ -118,7 +130,7 @@ class Matcher:
                 continue
             if self.patterns[n] is None:
                 self.patterns[n] = Myers(self.normals[n])
-            for begin, stop, _ in own:
+            for begin, stop in joined(own):
                 begin = max(begin, 0)
                 hit = self.patterns[n].best(text[begin:stop], budget if best is None else best[0] - 1)
                 if hit and (best is None or hit[0] < best[0]):

@@ -38,6 +38,21 @@ def test_no_occurrence_within_the_budget_is_missed(rate):
         assert {(i, d) for i, d, _ in dc.Matcher(items, rate).matches(text)} == want
 
 
+def test_repetitive_items_with_edited_openings():
+    """Equal pieces at several offsets: the true alignment may be that of a later hit with an earlier begin."""
+    rnd = random.Random(11)
+    item = "is a a subset of b is b a subset of c is c a subset of d is a a subset of d answer yes or no"
+    items = [(0, item), (1, "one two three four " * 5 + "and so on to the very end of all"), (2, "abcabcab" * 9)]
+    for _ in range(400):
+        i, pattern = rnd.choice(items)
+        own = list(pattern)
+        for _ in range(int(len(pattern) * 0.08)):
+            own[rnd.randrange(len(own) // 2)] = "q"
+        text = "some words before it " + "".join(own) + rnd.choice(["", " and after", " " + item[30:]])
+        want = {(i, *least(p, text)) for i, p in items if least(p, text)[0] <= int(len(p) * 0.08)}
+        assert want and set(dc.Matcher(items, 0.08).matches(text)) == want
+
+
 def test_pieces_cover_the_item():
     for n in (1, 10, 99):
         item = "x" * n
