@@ -12,8 +12,8 @@ Items go out in blocks of bounded size (``block_chars``), one pass over the docu
 for each, so neither the broadcast nor the automaton grows with the benchmark.
 
 Defined cases: null and empty texts match nothing.  Items whose normal form is
-shorter than ``least_chars`` match nothing: they say too little to accuse a
-text.  Repeated items or documents each give their own rows; null ids are kept
+shorter than ``least_chars`` are matched without edits and as whole words, those
+without a letter or digit not at all.  Repeated items or documents each give their own rows; null ids are kept
 as null.  Of several places the least distance counts, then the first end.
 """
 
@@ -87,15 +87,16 @@ def joined(windows: list[list[int]]) -> list[list[int]]:
 class Matcher:
     """All items of one block."""
 
-    def __init__(self, items: list[tuple[int | None, str]], rate: float) -> None:
+    def __init__(self, items: list[tuple[int | None, str]], rate: float, least_chars: int = 0) -> None:
         import ahocorasick
 
+        self.least = least_chars
         self.items, self.budgets, self.patterns = [i for i, _ in items], [], []
         self.normals = [t for _, t in items]
         self.automaton = ahocorasick.Automaton()
         where: dict[str, list[tuple[int, int]]] = {}
         for n, (_, text) in enumerate(items):
-            budget, pieces = cut(text, rate)
+            budget, pieces = cut(text, rate) if len(text) >= least_chars else (0, [(0, text)])
             self.budgets.append(budget)
             self.patterns.append(None)
             for at, piece in pieces:
@@ -110,8 +111,13 @@ class Matcher:
         if not len(self.automaton) or not text:
             return
         windows: dict[int, list[list[int]]] = {}
+        short: dict[int, int] = {}
         for last, (size, places) in self.automaton.iter(text):
             for n, at in places:
+                if len(self.normals[n]) < self.least:
+                    if (last + 1 == len(text) or text[last + 1] == " ") and (last + 1 == size or text[last - size] == " "):
+                        short.setdefault(n, last + 1)
+                    continue
                 begin = last + 1 - size - at - self.budgets[n]
                 stop = last + 1 - size - at + len(self.normals[n]) + self.budgets[n]
                 own = windows.setdefault(n, [])
@@ -121,6 +127,8 @@ class Matcher:
                     own[-1][2] = max(own[-1][2], begin + self.budgets[n] * 2)
                 else:
                     own.append([begin, stop, begin + self.budgets[n] * 2])
+        for n, end in short.items():
+            yield self.items[n], 0, end
         for n, own in windows.items():
             best = None
             budget = self.budgets[n]
@@ -147,10 +155,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, leas
     kinds = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text != ''")
     out = None
-    for shared in item_blocks(benchmark, least_chars, block_chars):
+    for shared in item_blocks(benchmark, block_chars):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, rate)
+            matcher = Matcher(shared.value, rate, least_chars)
             for batch in batches:
                 found = [(i, *m) for i, text in enumerate(batch["text"]) for m in matcher.matches(normal(text.as_py()))]
                 at, item, distance, end = map(list, zip(*found, strict=True)) if found else ([], [], [], [])
@@ -162,16 +170,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, leas
     return out
 
 
-def item_blocks(benchmark: DataFrame, least_chars: int, block_chars: int) -> list:
+def item_blocks(benchmark: DataFrame, block_chars: int) -> list:
     """Broadcasts of [(item_id, normalised text)], each of about ``block_chars`` at most."""
-    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where(F.length("text") >= least_chars)
+    items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text != ''")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_chars))
     out = []
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         texts = [(r["item_id"], normal(r["text"])) for r in own]
-        out.append(benchmark.sparkSession.sparkContext.broadcast([x for x in texts if len(x[1]) >= least_chars]))
+        out.append(benchmark.sparkSession.sparkContext.broadcast([x for x in texts if x[1]]))
     return out
 
 
@@ -181,10 +189,10 @@ def batch_type(kind: str) -> pa.DataType:
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, least_chars: int = 32, block_chars: int = 4_000_000) -> DataFrame:
     """The rows of docs, all columns, whose text holds no benchmark item; no row is moved."""
-    for shared in item_blocks(benchmark, least_chars, block_chars):
+    for shared in item_blocks(benchmark, block_chars):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, rate)
+            matcher = Matcher(shared.value, rate, least_chars)
             for batch in batches:
                 keep = [next(matcher.matches(normal(text.as_py())), None) is None for text in batch["_text"]]
                 yield pa.record_batch([batch["_row"].filter(pa.array(keep, pa.bool_()))], ["_row"])

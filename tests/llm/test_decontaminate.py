@@ -82,6 +82,15 @@ def test_documents(spark, block_chars):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [4, 5, 6, 7]
 
 
+def test_short_items_match_exactly_and_as_whole_words(spark):
+    bench = spark.createDataFrame([(1, "What is 2 + 2?"), (2, "art"), (3, "?!"), (4, None)], "item_id bigint, text string")
+    texts = ["so: WHAT is 2+2", "what is 2 2", "what was 2 2", "what is 2 25", "parts of a start, art", "parts", "art for art", "art", None, "!?"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = sorted(map(tuple, dc.contaminated(docs, bench).collect()))
+    assert got == [(0, 1, 0, 14), (1, 1, 0, 11), (4, 2, 0, 20), (6, 2, 0, 3), (7, 2, 0, 3)]
+    assert sorted(r.doc_id for r in dc.clean(docs, bench).collect()) == [2, 3, 5, 8, 9]
+
+
 def test_empty_tables(spark):
     docs, bench = rows(spark)
     assert dc.contaminated(docs.limit(0), bench).count() == 0 and dc.clean(docs.limit(0), bench).count() == 0
