@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from roadflux.plans.catalogue import QUERIES
-from roadflux.plans.oracle import ORACLES
+from roadflux.plans.oracle import KEYED_DISTANCES, LATTICE, ORACLES, w
 
 DATA = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
@@ -43,6 +43,16 @@ def test_query(spark, duck, name):
     assert table(df.columns, rows) == table([d[0] for d in found.description], found.fetchall())
 
 
+def test_shortest_paths_start_at_every_node(spark, duck):
+    """The registered SQL starts at a 40th of the nodes only; here the same distances from all of them."""
+    every = w(", ".join([LATTICE, "origin AS (SELECT graph, node AS u FROM nodes)", KEYED_DISTANCES]), "SELECT graph, src AS u, node AS v, round(far, 6) AS length_m FROM dist WHERE src <> node", True)
+    found = duck.execute(every)
+    df = QUERIES["shortest_path_lengths"](spark, DATA)
+    rows = [tuple(r) for r in df.collect()]
+    assert len({r[:2] for r in rows}) > 500
+    assert table(df.columns, rows) == table([d[0] for d in found.description], found.fetchall())
+
+
 def test_entry_and_names():
     import __spark_entry__ as entry
 
