@@ -17,8 +17,9 @@ A pair at the threshold misses every one of 32 bands of 4 rows with probability
 5e-8; the likely-link margin is over four standard errors of the signature.
 
 Defined cases: null, empty and word-less texts have an empty set and stay alone.
-Repeated rows are separate rows; repeated ids share nothing but their id.  A
-null doc_id is kept, with component_id null where its group has no other id.
+Repeated rows are separate rows; repeated ids share nothing but their id.  Null
+ids come last in a group: where it has no other id, component_id is null and the
+least text hash is the row that is kept.
 Other columns of the input are neither read nor returned.
 """
 
@@ -164,7 +165,10 @@ def same_enough(parts: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def confirmed_links(docs: DataFrame, groups: DataFrame, k: int, percent: int, block_rows: int) -> DataFrame:
-    """Forest edges of exact links; groups(cid, doc_id, component, size): one member of each class."""
+    """Forest edges of exact links; groups(cid, key, component, size): one member of each class.
+
+    key: the member's id, or its text hash where all of the class lack an id.
+    """
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -172,12 +176,14 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, k: int, percent: int, bl
                 h, _, _, per = words(data, off)
                 sets, part = shingle_sets(h, per, k), batch.slice(lo, hi - lo)
                 own = [len(s) > 0 and class_id(s) == c for s, c in zip(sets, part["cid"].to_pylist(), strict=True)]
-                kept = part.filter(pa.array(own, pa.bool_()))  # another text under the same id falls out
+                kept = part.filter(pa.array(own, pa.bool_()))  # another text under the same key falls out
                 yield pa.record_batch([kept["cid"], kept["component"], kept["size"], pa.array([s.tobytes() for s, x in zip(sets, own, strict=True) if x], pa.binary())], ["cid", "component", "size", "shingles"])
 
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    likely = with_maybe(texts, "doc_id", groups, "doc_id", "_may").where("_may").drop("_may")  # most texts stay where they are
-    sets = likely.join(groups.hint("merge"), "doc_id").select("text", "cid", "component", "size").mapInArrow(to_sets, "cid bigint, component bigint, size bigint, shingles binary")
+    own_id = F.col("doc_id").cast("bigint")
+    texts = docs.select(F.coalesce(own_id, F.xxhash64("text")).alias("key"), F.col("text").cast("string"), own_id.isNull().alias("_none"))
+    likely = with_maybe(texts, "key", groups, "key", "_may").where("_may").drop("_may")  # most texts stay where they are
+    likely = likely.where("not _none").unionByName(likely.where("_none").dropDuplicates(["key"]))  # copies without an id have one key
+    sets = likely.join(groups.hint("merge"), "key").select("text", "cid", "component", "size").mapInArrow(to_sets, "cid bigint, component bigint, size bigint, shingles binary")
 
     def confirm(runs: Iterator) -> Iterator[pa.RecordBatch]:
         for table, cuts in runs:
@@ -194,29 +200,32 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, k: int, percent: int, bl
 
 
 def grouped(docs: DataFrame, k: int, percent: int, margin: float, bucket_rows: int, block_rows: int) -> DataFrame:
-    """(doc_id, text_key, n_shingles, component, first) per row; first: the least (doc_id, text_key) of its group."""
+    """(doc_id, text_key, n_shingles, component, first) per row; first: the least (doc_id, text_key) of its group, null ids last."""
     rows = checkpointed(sketches(docs, k))
     full = rows.where("cid is not null")
-    classes = checkpointed(full.groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
+    classes = checkpointed(full.groupBy("cid").agg(F.coalesce(F.min("doc_id"), F.min("text_key")).alias("key"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
     coarse = connected_components(likely_links(classes.select("cid", "bands", "sig"), percent / 100 - margin, bucket_rows))
     sized = coarse.groupBy("component").agg(F.count("*").alias("size")).select(rekey("component"), "size")
-    groups = checkpointed(coarse.withColumnRenamed("node", "cid").join(sized, "component").join(classes.select("cid", "doc_id"), "cid"))
+    groups = checkpointed(coarse.withColumnRenamed("node", "cid").join(sized, "component").join(classes.select("cid", "key"), "cid"))
     exact = connected_components(confirmed_links(docs, groups, k, percent, block_rows))
     merged = rows.select("doc_id", "text_key", "n_shingles", "cid").join(exact.select(F.col("node").alias("cid"), F.col("component")), "cid", "left")
     merged = checkpointed(merged.select("doc_id", "text_key", "n_shingles", F.coalesce("component", "cid").alias("component")))
-    named = merged.where("component is not null and doc_id is not null").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
-    return merged.join(named.select(rekey("component"), "first"), "component", "left")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
+    named = merged.where("component is not null").groupBy("component").agg(least.alias("least"))
+    named = named.select(rekey("component"), F.struct("least.doc_id", "least.text_key").alias("first"))
+    return merged.join(named, "component", "left")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, margin: float = 0.15, bucket_rows: int = 2048, block_rows: int = 128) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs(doc_id, text)."""
     out = grouped(docs, k, percent, margin, bucket_rows, block_rows)
     out = out.withColumn("component_id", F.coalesce("first.doc_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+    nameless = F.col("component_id").isNull() & F.coalesce(F.col("text_key") == F.col("first.text_key"), F.lit(True))
+    return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), nameless).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80, margin: float = 0.15, bucket_rows: int = 2048, block_rows: int = 128) -> DataFrame:
-    """The rows of docs, all columns, with one row of every group: the least (doc_id, text hash).
+    """The rows of docs, all columns, with one row of every group: the least (doc_id, text hash), null ids last.
 
     Texts without a word stay, every one of them.  Rows repeated whole count as one.
     """

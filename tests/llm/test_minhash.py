@@ -93,6 +93,19 @@ def test_one_row_of_every_group_stays(spark):
     assert kept == {d for d, _, c, own in brute(rows, 5, 80) if own}
 
 
+def test_groups_without_ids(spark):
+    """Rows of null ids are linked as others are, and one row of their group stays."""
+    words = [f"w{i}" for i in range(60)]
+    near = lambda i: " ".join([*words[:i], "other", *words[i + 1 :]])
+    rows = [(None, near(59)), (None, near(59)), (None, near(0)), (None, " ".join(words)), (None, "quite another text of its own"), (7, "x y z u v w"), (None, "x y z u v w")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = minhash.near_duplicates(df.repartition(3)).collect()
+    assert sorted((r.component_id or 0, r.n_shingles, r.kept) for r in got if r.n_shingles < 50) == [(0, 2, True), (7, 2, False), (7, 2, True)]
+    assert {r.component_id for r in got if r.n_shingles > 50} == {None} and sum(r.kept for r in got if r.n_shingles > 50) in (1, 2)  # 2: the exact copies
+    kept = [(r.doc_id, r.text) for r in minhash.deduplicated(df.repartition(3)).collect()]
+    assert len(kept) == 3 and {(7, "x y z u v w"), (None, "quite another text of its own")} < set(kept)
+
+
 def test_very_long_text(spark):
     rnd = random.Random(0)
     words = [f"word{rnd.randrange(5000)}" for _ in range(250_000)]
