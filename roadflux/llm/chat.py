@@ -22,7 +22,7 @@ Null conv_id or turn: never an original, never linked.  Quotes of under
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpointed, rekey
@@ -88,10 +88,14 @@ def linked(messages: DataFrame, least_chars: int = 8) -> DataFrame:
     index = known.select("conv_id", "turn", F.explode(_keys(F.col("reply"), normal(F.col("reply")))).alias("key")).where(form_ok)
     index = index.select("conv_id", "turn", F.xxhash64("key.form").alias("hash"), F.length("key.form").alias("chars")).join(wanted, ["hash", "chars"], "left_semi")
     index = checkpointed(index.groupBy("hash", "chars", "conv_id").agg(F.min("turn").alias("first")))
-    anywhere = index.groupBy("hash", "chars").agg(F.min(F.struct("conv_id", "first")).alias("any"))
+    # the two first conversations, as one of them may be the quoting one; the limit holds before the exchange too
+    nth = F.row_number().over(Window.partitionBy("hash", "chars").orderBy("conv_id"))
+    ends = [f(F.struct("conv_id", "first")).alias(name) for f, name in ((F.min, "any"), (F.max, "next"))]
+    anywhere = index.withColumn("nth", nth).where("nth <= 2").groupBy("hash", "chars").agg(*ends)
     same = quotes.join(index.select(rekey("hash"), "chars", "conv_id", "first"), ["hash", "chars", "conv_id"], "left")
-    both = same.join(anywhere.select(rekey("hash"), "chars", "any"), ["hash", "chars"], "left")
+    both = same.join(anywhere.select(rekey("hash"), "chars", "any", "next"), ["hash", "chars"], "left")
     here = F.col("first") < F.col("turn")
+    both = both.withColumn("any", F.when(F.col("any.conv_id") != F.col("conv_id"), F.col("any")).otherwise(F.col("next")))
     elsewhere = F.col("any.conv_id") != F.col("conv_id")
     both = both.withColumn("to", F.when(here, F.struct(F.lit(0).alias("far"), F.col("conv_id").alias("c"), F.col("first").alias("t"))).when(elsewhere, F.struct(F.lit(1).alias("far"), F.col("any.conv_id").alias("c"), F.col("any.first").alias("t"))))
     best = both.where("to is not null").groupBy("conv_id", "turn").agg(F.min(F.struct("to.far", "level", "rank", "to.c", "to.t")).alias("b"))

@@ -46,6 +46,16 @@ def test_against_sql(spark):
     assert sorted(repr(tuple(r[n] for n in names)) for r in linked(frame(spark)).collect()) == rows
 
 
+def test_the_first_original_may_be_the_quoting_conversation(spark):
+    """The conversation that quotes holds the passage itself, but later: the next conversation has the original."""
+    line = "a sentence that several people write"
+    rows = [(1, 3, "user", f"> {line}\nyes"), (1, 5, "user", line), (2, 0, "user", line), (3, 0, "user", line), (4, 1, "user", f"> {line}\nno")]
+    got = {(r.conv_id, r.turn): (r.parent_conv, r.parent_turn) for r in linked(frame(spark, rows)).collect()}
+    assert got[1, 3] == (2, 0) and got[4, 1] == (1, 5)
+    alone = {(r.conv_id, r.turn): r.parent_conv for r in linked(frame(spark, rows[:2])).collect()}
+    assert alone[1, 3] is None
+
+
 def test_deep_chain(spark):
     rows = [(1, 0, "user", "message number zero begins")]
     rows += [(1, i, "user", f"> message number {['zero', i - 1][i > 1]} begins\nmessage number {i} begins") for i in range(1, 40)]
