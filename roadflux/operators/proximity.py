@@ -59,7 +59,8 @@ def nearest_line(points: DataFrame, segments: DataFrame, key: str, cell: float =
     """(key, line_id, distance_m): the nearest line of every point, the lowest id among equals.
 
     Cells double until a line lies within the cell's size, which makes it
-    certainly the nearest; points that no round decides are given a null line.
+    certainly the nearest; points that no round decides are compared with all
+    segments.  Without segments or coordinates the line is null.
     """
     left, out = materialize(points.select(key, "x", "y")), None
     for turn in range(rounds):
@@ -73,4 +74,6 @@ def nearest_line(points: DataFrame, segments: DataFrame, key: str, cell: float =
         left = materialize(left.join(found.select(key), key, "left_anti"))
         if left.isEmpty():
             return out
-    return out.unionByName(left.select(key, F.lit(None).cast("bigint").alias("line_id"), F.lit(None).cast("double").alias("distance_m")))
+    met = left.crossJoin(segments).withColumn("distance_m", segment_distance(*[F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")])).where("distance_m is not null and not isnan(distance_m)")
+    found = met.groupBy(key).agg(F.min(F.struct("distance_m", "line_id")).alias("b")).select(key, F.col("b.line_id").alias("line_id"), F.col("b.distance_m").alias("distance_m"))
+    return out.unionByName(left.select(key).join(found, key, "left"))

@@ -58,6 +58,15 @@ def test_radius_join_equals_brute_force(spark):
         assert near[p[0]][0] == line and near[p[0]][1] == pytest.approx(d, abs=1e-6)
 
 
+def test_nearest_line_has_no_distance_limit(spark):
+    pts = spark.createDataFrame([(1, 0.0, 10.0), (2, 0.0, 3e6), (3, 5e6, 0.0), (4, None, 0.0)], "id int, x double, y double")
+    lines = spark.createDataFrame([(7, 0, 0.0, 0.0, 100.0, 0.0), (8, 0, 0.0, 1000.0, 100.0, 1000.0), (9, 0, 0.0, 1000.0, 100.0, 1000.0)], "line_id int, seq int, x1 double, y1 double, x2 double, y2 double")
+    got = {r.id: (r.line_id, r.distance_m) for r in proximity.nearest_line(pts, lines, "id", rounds=2).collect()}
+    assert got == {1: (7, 10.0), 2: (8, 3e6 - 1000), 3: (7, 5e6 - 100), 4: (None, None)}
+    assert {r.line_id for r in proximity.nearest_line(pts, lines.limit(0), "id", rounds=1).collect()} == {None}
+    assert proximity.nearest_line(pts.where("id = 2"), lines, "id").first().line_id == 8
+
+
 def test_nearest_edges_equal_brute_force(spark):
     rnd = np.random.default_rng(5)
     mids = [(int(i), int(i) + 1000, 0, float(x), float(y)) for i, (x, y) in enumerate(rnd.normal(0, 2000, (80, 2)))]
