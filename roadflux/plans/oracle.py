@@ -233,7 +233,7 @@ ORACLES = {
     "ping_burst_counts": w(GAPS, "SELECT count(*) AS pings, " + ", ".join(f"count(*) FILTER (gap <= {s}) AS within_{s}s" for s in (1, 5, 10)) + ", " + ", ".join(f"round(count(*) FILTER (gap <= {s}) * 100e0 / count(*), 6) AS pct_{s}s" for s in (1, 5)) + " FROM gaps"),
     "stage_counts": w(", ".join([raw(), THIN, FENCE, DENSE, DAYS]), "SELECT (SELECT count(*) FROM raw) AS raw, (SELECT count(*) FROM thin) AS thinned, (SELECT count(*) FROM dense) AS filtered, (SELECT count(*) FROM days) AS kept, (SELECT CAST(min(day) AS VARCHAR) FROM days) AS first_day, (SELECT CAST(max(day) AS VARCHAR) FROM days) AS last_day, round(((SELECT count(*) FROM raw) - (SELECT count(*) FROM thin)) * 100e0 / (SELECT count(*) FROM raw), 6) AS noise_pct"),
     "knn_edge_candidates": w(", ".join([raw(), THIN, FENCE, PLACES, LATTICE, KNN]), "SELECT round(lat, 4) AS latitude, round(lon, 4) AS longitude, array_to_string(nodes, ',') AS nodes FROM cand"),
-    "shortest_path_lengths": w(", ".join([LATTICE, "origin AS (SELECT graph, node AS u FROM nodes WHERE node % 40 = 0)", KEYED_DISTANCES]), "SELECT graph, src AS u, node AS v, round(far, 6) AS length_m FROM dist WHERE src <> node", True),
+    "shortest_path_lengths": w(", ".join([LATTICE, "origin AS (SELECT graph, node AS u FROM nodes)", KEYED_DISTANCES]), "SELECT graph, src AS u, node AS v, round(far, 6) AS length_m FROM dist WHERE src <> node", True),
     "route_pair_selection": w(", ".join([_ROUTES, PAIRS, KEYED_DISTANCES, SCORED]), """SELECT caid, CAST(day AS VARCHAR) AS day, CAST(row AS INTEGER) AS row, u, v, round(far, 6) AS length_m, round(score, 6) AS score, too_fast FROM sc
         QUALIFY row_number() OVER (PARTITION BY caid, day, row ORDER BY score >= 0.15, CASE WHEN score < 0.15 THEN 0 ELSE score END, i, j) = 1""", True),
     "route_continuity": w(", ".join([_ROUTES, PAIRS, KEYED_DISTANCES, SCORED, FOLD]), "SELECT caid, CAST(day AS VARCHAR) AS day, CAST(row AS INTEGER) AS row, b.u AS u, b.v AS v, start, b.f AS too_fast FROM fold WHERE row > 0", True),
