@@ -11,13 +11,14 @@ before the join, so a passage that everybody quotes does not multiply rows.
 
 Messages are then ordered by conversation, thread (the message that a chain of
 replies starts from, found by pointer doubling) and turn; a reply always follows
-its original.
+its original.  A passage shorter than ``least_chars`` normalised characters is too
+common to name a message elsewhere, so it is looked for in its own conversation only.
 
 Defined cases: a null text reads as empty; conversations of any size are fine,
 as nothing is gathered per conversation.  Messages without quotation, or whose
 original is unknown, start threads of their own.  Repeated rows stay repeated.
-Null conv_id or turn: never an original, never linked.  Quotes of under
-``least_chars`` normalised characters link nothing.
+Null conv_id or turn: never an original, never linked.  A passage without a letter
+or digit links nothing.
 """
 
 from __future__ import annotations
@@ -44,24 +45,28 @@ def _lines(text: Column) -> Column:
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """messages(conv_id, turn, role, text) with reply, levels (deepest quotation) and passages array<struct<level, text>>."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    quoting = text.rlike(r"(?m)^[ \t]*>")
-    out = messages.select("conv_id", "turn", "role", text.alias("text"), F.when(quoting, _lines(text)).alias("lines"))
-    own = F.array_join(F.transform(F.filter("lines", lambda x: x.level == 0), lambda x: x.line), "\n")
-    # a blank joins the lines of a passage; another level or an own line ends it
-    empty = F.array().cast("array<struct<level: int, text: string>>")
-    merged = F.aggregate(
-        "lines",
-        empty,
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1)).level == x.level),
-            F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(F.struct(x.level.alias("level"), F.concat(F.try_element_at(acc, F.lit(-1)).text, F.lit("\n"), x.line).alias("text")))),
-        ).otherwise(F.concat(acc, F.array(F.struct(x.level.alias("level"), x.line.alias("text"))))),
+    """messages(conv_id, turn, role, text) with reply, levels (deepest quotation) and passages array<struct<level, text>>.
+
+    Passages are cut at the places where the level changes, so every line is copied once, however long the text.
+    The lines of messages that quote are written first: an optimiser that inlined them
+    into the lambdas below would split the text again for every line of it.
+    """
+    names, empty = ["conv_id", "turn", "role", "reply", "passages", "levels"], F.array().cast("array<struct<level: int, text: string>>")
+    rows = messages.select("conv_id", "turn", "role", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    quoting = F.col("text").rlike(r"(?m)^[ \t]*>")
+    plain = rows.where(~quoting).select("conv_id", "turn", "role", F.col("text").alias("reply"), empty.alias("passages"), F.lit(0).alias("levels"))
+    lines = _lines(F.col("text"))
+    out = checkpointed(rows.where(quoting).select("conv_id", "turn", "role", F.transform(lines, lambda x: x.level).alias("at_level"), F.transform(lines, lambda x: x.line).alias("line")))
+    change = lambda i: (i == 1) | (F.element_at("at_level", i) != F.element_at("at_level", F.greatest(i - 1, F.lit(1))))
+    out = out.withColumn("starts", F.filter(F.sequence(F.lit(1), F.size("line")), change))
+    out = out.withColumn("ends", F.concat(F.slice("starts", F.lit(2), F.size("starts")), F.array(F.size("line") + 1)))
+    runs = F.transform(
+        F.arrays_zip("starts", "ends"),
+        lambda r: F.struct(F.element_at("at_level", r.starts).alias("level"), F.array_join(F.transform(F.sequence(r.starts, r.ends - 1), lambda i: F.element_at("line", i)), "\n").alias("text")),
     )
-    reply = F.when(F.col("lines").isNull(), F.col("text")).otherwise(F.regexp_replace(own, r"^\n+|\n+$", ""))
-    out = out.withColumns({"reply": reply, "passages": F.coalesce(F.filter(merged, lambda x: x.level > 0), empty)})
-    return out.withColumn("levels", F.coalesce(F.array_max(F.transform("passages", lambda x: x.level)), F.lit(0))).drop("lines", "text")
+    own = F.array_join(F.filter("line", lambda x, i: F.element_at("at_level", i + 1) == 0), "\n")
+    out = out.withColumns({"reply": F.regexp_replace(own, r"^\n+|\n+$", ""), "passages": F.filter(runs, lambda x: x.level > 0), "levels": F.array_max("at_level")})
+    return plain.unionByName(out.select(*names))
 
 
 def _keys(text: Column, whole: Column) -> Column:
@@ -74,7 +79,7 @@ def linked(messages: DataFrame, least_chars: int = 8) -> DataFrame:
     """(conv_id, turn, role, reply, levels, n_quotes, parent_conv, parent_turn, thread_turn, depth), reply-ordered."""
     rows = parsed(messages)
     known = rows.where("conv_id is not null and turn is not null")
-    form_ok = F.length("key.form") >= least_chars
+    form_ok = F.length("key.form") > 0
     quotes = known.where("levels > 0").select("conv_id", "turn", F.explode("passages").alias("p"))
     quotes = quotes.select("conv_id", "turn", "p.level", F.explode(_keys(F.col("p.text"), normal(F.col("p.text")))).alias("key")).where(form_ok)
     quotes = checkpointed(quotes.select("conv_id", "turn", "level", "key.rank", F.xxhash64("key.form").alias("hash"), F.length("key.form").alias("chars")).distinct())
@@ -90,13 +95,14 @@ def linked(messages: DataFrame, least_chars: int = 8) -> DataFrame:
     index = checkpointed(index.groupBy("hash", "chars", "conv_id").agg(F.min("turn").alias("first")))
     # the two first conversations, as one of them may be the quoting one; the limit holds before the exchange too
     nth = F.row_number().over(Window.partitionBy("hash", "chars").orderBy("conv_id"))
+    index, every = index.where(F.col("chars") >= least_chars), index
     ends = [f(F.struct("conv_id", "first")).alias(name) for f, name in ((F.min, "any"), (F.max, "next"))]
     anywhere = index.withColumn("nth", nth).where("nth <= 2").groupBy("hash", "chars").agg(*ends)
-    same = quotes.join(index.select(rekey("hash"), "chars", "conv_id", "first"), ["hash", "chars", "conv_id"], "left")
+    same = quotes.join(every.select(rekey("hash"), "chars", "conv_id", "first"), ["hash", "chars", "conv_id"], "left")
     both = same.join(anywhere.select(rekey("hash"), "chars", "any", "next"), ["hash", "chars"], "left")
     here = F.col("first") < F.col("turn")
     both = both.withColumn("any", F.when(F.col("any.conv_id") != F.col("conv_id"), F.col("any")).otherwise(F.col("next")))
-    elsewhere = F.col("any.conv_id") != F.col("conv_id")
+    elsewhere = (F.col("any.conv_id") != F.col("conv_id")) & (F.col("chars") >= least_chars)
     both = both.withColumn("to", F.when(here, F.struct(F.lit(0).alias("far"), F.col("conv_id").alias("c"), F.col("first").alias("t"))).when(elsewhere, F.struct(F.lit(1).alias("far"), F.col("any.conv_id").alias("c"), F.col("any.first").alias("t"))))
     best = both.where("to is not null").groupBy("conv_id", "turn").agg(F.min(F.struct("to.far", "level", "rank", "to.c", "to.t")).alias("b"))
     parents = checkpointed(best.select("conv_id", "turn", F.col("b.c").alias("parent_conv"), F.col("b.t").alias("parent_turn")))

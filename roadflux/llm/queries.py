@@ -62,12 +62,34 @@ def op9_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.linked(read(spark, sf_dir, "conversations"))
 
 
+def quoting(conversations: DataFrame) -> DataFrame:
+    """The conversations with replies that quote: the turn before, two levels of turns, or the next conversation's opening."""
+    known = conversations.where("conv_id is not null and turn is not null")
+    said = known.groupBy("conv_id", "turn").agg(F.min("text").alias("said"))
+    before = lambda n, name: said.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("said").alias(name))
+    opening = said.where("turn = 0").select((F.col("conv_id") - 1).alias("conv_id"), F.col("said").alias("o"))
+    out = conversations.join(before(1, "a"), ["conv_id", "turn"], "left").join(before(2, "b"), ["conv_id", "turn"], "left").join(opening, "conv_id", "left")
+    text, kind = F.coalesce("text", F.lit("")), F.col("turn") % 4
+    marked = lambda name, first, other: F.concat(F.lit(first), F.replace(F.col(name), F.lit("\n"), F.lit("\n" + other)), F.lit("\n"))
+    made = (
+        F.when((kind == 1) & F.col("a").isNotNull(), F.concat(marked("a", "> ", "> "), text))
+        .when((kind == 2) & F.col("a").isNotNull() & F.col("b").isNotNull(), F.concat(marked("b", ">> ", "> > "), marked("a", ">", "> "), text))
+        .when((kind == 3) & F.col("o").isNotNull(), F.concat(text, F.lit("\n> "), F.substring_index("o", "\n", 1), F.lit("\nso I read")))
+    )
+    return out.select("conv_id", "turn", "role", F.coalesce(made, "text").alias("text"))
+
+
+def quoted_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotation linking where there are quotations: the table's own messages hold none."""
+    return chat.linked(quoting(read(spark, sf_dir, "conversations")))
+
+
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(read(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_url_filter, op2_warc_index, op3_toxicity, op4_language, op5_bpe, op6_quality, op7_decontamination, op8_minhash, op9_quotations, op10_embeddings]
+    own = [op1_url_filter, op2_warc_index, op3_toxicity, op4_language, op5_bpe, op6_quality, op7_decontamination, op8_minhash, op9_quotations, op10_embeddings, quoted_conversations]
     return {f.__name__: f for f in own}
 
 

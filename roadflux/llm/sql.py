@@ -30,8 +30,8 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
 FROM p LEFT JOIN k USING (payload_digest, payload_bytes)
 """
 
-OP9 = r"""
-WITH RECURSIVE m AS (SELECT row_number() OVER () AS id, conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+_OP9 = r"""
+m AS (SELECT row_number() OVER () AS id, conv_id, turn, role, coalesce(text, '') AS text FROM messages),
 l AS (
   SELECT id, conv_id, turn, i, length(regexp_extract(line, '^(?:[ \t]*>)+')) - length(replace(regexp_extract(line, '^(?:[ \t]*>)+'), '>', '')) AS level,
          regexp_replace(regexp_replace(line, '^(?:[ \t]*>)+', ''), '^ ', '') AS line
@@ -48,13 +48,10 @@ qf AS (SELECT id, conv_id, turn, level, 0 AS rank, passage AS form FROM p UNION
 q AS (SELECT DISTINCT conv_id, turn, level, rank, trim(regexp_replace(lower(form), '[^\p{L}\p{N}]+', ' ', 'g')) AS form FROM qf WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
 of AS (SELECT conv_id, turn, reply AS form FROM s UNION ALL SELECT conv_id, turn, unnest(string_split(reply, chr(10))) FROM s),
 o AS (SELECT form, conv_id, min(turn) AS first FROM (SELECT conv_id, turn, trim(regexp_replace(lower(form), '[^\p{L}\p{N}]+', ' ', 'g')) AS form FROM of WHERE conv_id IS NOT NULL AND turn IS NOT NULL)
-      WHERE length(form) >= 8 GROUP BY ALL),
-a AS (SELECT form, min(struct_pack(c := conv_id, t := first)) AS a FROM o GROUP BY form),
-c AS (SELECT q.conv_id, q.turn, level, rank,
-             CASE WHEN first < q.turn THEN 0 WHEN a.c <> q.conv_id THEN 1 END AS far,
-             CASE WHEN first < q.turn THEN q.conv_id ELSE a.c END AS c, CASE WHEN first < q.turn THEN first ELSE a.t END AS t
-      FROM q LEFT JOIN o USING (form, conv_id) LEFT JOIN a USING (form) WHERE length(form) >= 8),
-b AS (SELECT conv_id, turn, min(struct_pack(far := far, level := level, rank := rank, c := c, t := t)) AS b FROM c WHERE far IS NOT NULL GROUP BY ALL),
+      WHERE form <> '' GROUP BY ALL),
+c AS (SELECT q.conv_id, q.turn, q.level, q.rank, CASE WHEN o.conv_id = q.conv_id THEN 0 ELSE 1 END AS far, o.conv_id AS c, o.first AS t
+      FROM q JOIN o ON o.form = q.form AND CASE WHEN o.conv_id = q.conv_id THEN o.first < q.turn ELSE length(q.form) >= 8 END),
+b AS (SELECT conv_id, turn, min(struct_pack(far := far, level := level, rank := rank, c := c, t := t)) AS b FROM c GROUP BY ALL),
 f AS (SELECT conv_id, turn, b.c AS parent_conv, b.t AS parent_turn FROM b),
 w AS (SELECT conv_id, turn, parent_turn AS up, 1 AS depth FROM f WHERE parent_conv = conv_id
       UNION ALL SELECT w.conv_id, w.turn, f.parent_turn, w.depth + 1 FROM w JOIN f ON f.conv_id = w.conv_id AND f.turn = w.up AND f.parent_conv = f.conv_id),
@@ -64,4 +61,16 @@ SELECT s.conv_id, s.turn, role, reply, CAST(levels AS INTEGER) AS levels, CAST(n
 FROM s LEFT JOIN f ON s.conv_id = f.conv_id AND s.turn = f.turn LEFT JOIN d ON s.conv_id = d.conv_id AND s.turn = d.turn
 """
 
-ORACLES = {"op1_url_filter": OP1, "op2_warc_index": OP2, "op9_quotations": OP9}
+OP9 = "WITH RECURSIVE messages AS (SELECT * FROM conversations)," + _OP9
+
+#: The conversations of the tables hold no quotation, so replies are made to quote the turns before them.
+QUOTED = """WITH RECURSIVE said AS (SELECT conv_id, turn, min(text) AS said FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY ALL),
+messages AS (
+  SELECT c.conv_id, c.turn, role, CASE
+    WHEN c.turn % 4 = 1 AND a.said IS NOT NULL THEN '> ' || replace(a.said, chr(10), chr(10) || '> ') || chr(10) || coalesce(text, '')
+    WHEN c.turn % 4 = 2 AND a.said IS NOT NULL AND b.said IS NOT NULL THEN '>> ' || replace(b.said, chr(10), chr(10) || '> > ') || chr(10) || '>' || replace(a.said, chr(10), chr(10) || '> ') || chr(10) || coalesce(text, '')
+    WHEN c.turn % 4 = 3 AND o.said IS NOT NULL THEN coalesce(text, '') || chr(10) || '> ' || split_part(o.said, chr(10), 1) || chr(10) || 'so I read' ELSE text END AS text
+  FROM conversations c LEFT JOIN said a ON a.conv_id = c.conv_id AND a.turn = c.turn - 1 LEFT JOIN said b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2
+  LEFT JOIN said o ON o.conv_id = c.conv_id + 1 AND o.turn = 0),""" + _OP9
+
+ORACLES = {"op1_url_filter": OP1, "op2_warc_index": OP2, "op9_quotations": OP9, "quoted_conversations": QUOTED}

@@ -1,3 +1,5 @@
+import random
+
 import duckdb
 import pytest
 
@@ -37,13 +39,17 @@ def test_links_and_order(spark):
     assert order == [(1, 0), (1, 1), (1, 2), (1, 3), (1, 5), (1, 4), (1, 4)]
 
 
-def test_against_sql(spark):
-    con = duckdb.connect()
-    con.register("conversations", frame(spark).select("conv_id", "turn", "role", "text").toPandas().astype({"conv_id": "Int64", "turn": "Int64"}))
+@pytest.mark.parametrize("seed", [None, 1, 2])
+def test_against_sql(spark, seed):
+    con, rows = duckdb.connect(), ROWS
+    if seed:  # few sentences, so that the first conversation with a passage often is the quoting one
+        rnd, said = random.Random(seed), ["yes", "no", "a longer sentence here", "another sentence there", "one more of them"]
+        rows = [(c, t, "user", "\n".join(rnd.choice(["", "", "> ", ">> "]) + rnd.choice(said) for _ in range(rnd.randint(1, 4)))) for c in range(8) for t in range(6)]
+    con.register("conversations", frame(spark, rows).select("conv_id", "turn", "role", "text").toPandas().astype({"conv_id": "Int64", "turn": "Int64"}))
     found = con.execute(OP9)
     names = [d[0] for d in found.description]
-    rows = sorted(map(repr, found.fetchall()))
-    assert sorted(repr(tuple(r[n] for n in names)) for r in linked(frame(spark)).collect()) == rows
+    want = sorted(map(repr, found.fetchall()))
+    assert sorted(repr(tuple(r[n] for n in names)) for r in linked(frame(spark, rows)).collect()) == want
 
 
 def test_the_first_original_may_be_the_quoting_conversation(spark):
@@ -69,11 +75,23 @@ def test_one_passage_quoted_by_all(spark):
     assert len(got) == 30 and all((r.parent_conv, r.parent_turn) == (r.conv_id, 0) for r in got)
 
 
+def test_short_quotes_link_inside_their_conversation(spark):
+    rows = [(1, 0, "user", "Yes"), (1, 1, "user", "No, why?"), (1, 2, "user", "> yes\nI see"), (2, 0, "user", "> Yes\n> no why\nwho said that"), (2, 1, "user", "> !?\nnothing")]
+    got = {(r.conv_id, r.turn): (r.parent_conv, r.parent_turn) for r in linked(frame(spark, rows)).collect()}
+    assert got[1, 2] == (1, 0) and got[2, 0] == (None, None) and got[2, 1] == (None, None)
+
+
 @pytest.mark.parametrize("rows", [[], ROWS[:1]])
 def test_without_quotation(spark, rows):
     assert linked(frame(spark, rows)).count() == len(rows)
 
 
+def test_many_passages_in_one_text(spark):
+    text = "".join(f"> quoted line {i}\nown line {i}\n" for i in range(100_000))
+    row = linked(frame(spark, [(1, 0, "user", text)])).first()
+    assert row.n_quotes == 100_000 and row.reply.endswith("own line 99999") and row.reply.count("\n") == 99_999
+
+
 def test_native_and_long(spark):
     df = linked(frame(spark, [(1, 0, "user", "> a long line of quotation\n" * 3000 + "end")]))
     row = df.first()
