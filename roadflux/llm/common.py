@@ -37,6 +37,23 @@ def rekey(column: str) -> Column:
     return F.col(column).bitwiseXOR(F.lit(0).cast("bigint")).alias(column)
 
 
+def without_clashes(rows: DataFrame, key: str, check: str) -> DataFrame:
+    """rows whose 64-bit ``key`` is the same only where the second digest ``check`` is the same as well.
+
+    Rows of a key that stands for several checks get another key each, drawn
+    again until none clashes; null keys stay null.  rows should be materialised.
+    """
+    salt = 0
+    while True:
+        clashing = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(check).alias("_a"), F.max(check).alias("_b")).where("_a != _b").select(rekey(key), F.lit(True).alias("_clash"))
+        clashing = checkpointed(clashing)
+        if clashing.isEmpty():
+            return rows
+        salt += 1
+        drawn = F.when(F.col("_clash"), F.xxhash64(key, check, F.lit(salt))).otherwise(F.col(key))
+        rows = checkpointed(rows.join(clashing, key, "left").withColumn(key, drawn).drop("_clash"))
+
+
 def learns(doc_id: str, modulus: int) -> Column:
     """crc32(doc_id as text) mod ``modulus``; null ids count as remainder 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus, F.lit(0))

@@ -1,7 +1,8 @@
 """Near-duplicate documents: MinHash, banding, verification on full shingle sets.
 
 1.  One pass over the texts makes, per document, its shingle count, a class id
-    (64-bit digest of the whole shingle set), the band keys and a signature of
+    (a digest of the whole shingle set, held against a second one, so that 128
+    bits agree), the band keys and a signature of
     one byte per universal-hash minimum.  Documents of equal sets form a class
     and only one member goes on, so copies never meet each other again.
 2.  Band buckets with at least two classes are searched by breadth-first
@@ -10,8 +11,9 @@
     by block pair, so no task holds a whole hot bucket and no pair is skipped.
 3.  Components of the likely links bound the search.  Their members' full
     sets are compared exactly (integers, ``100 * common >= percent * union``), again
-    breadth first and in block pairs; confirmed links go through large-star /
-    small-star once more.
+    breadth first and in block pairs, whose size is that of the sets
+    (``block_shingles``), so the copies of a set follow its component's bytes and
+    not its rows; confirmed links go through large-star / small-star once more.
 
 A pair at the threshold misses every one of 32 bands of 4 rows with probability
 5e-8; the likely-link margin is over four standard errors of the signature.
@@ -32,13 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, rekey
+from .common import checkpointed, rekey, without_clashes
 from .components import connected_components
 from .runs import by_run, reached
 from .sieve import with_maybe
 from .vectext import chunks, mix, shingle_sets, words
 
 BANDS, ROWS = 32, 4
+SECOND = 0x2545F4914F6CDD1D
 _U = np.uint64
 
 
@@ -55,9 +58,9 @@ def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return low
 
 
-def class_id(shingles: np.ndarray) -> int:
+def class_id(shingles: np.ndarray, salt: int = 0x517CC1B727220A95) -> int:
     """Digest of a whole set, as a bigint."""
-    mixed = mix(shingles + _U(0x517CC1B727220A95))
+    mixed = mix(shingles + _U(salt))
     total = mix(mixed.sum(dtype=_U, keepdims=True) + mix(np.array([len(shingles)], _U)))
     return int((total ^ mix(np.bitwise_xor.reduce(mixed, keepdims=True, initial=_U(0)))).view(np.int64)[0])
 
@@ -88,22 +91,23 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                         batch["text_key"].slice(lo, hi - lo),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([class_id(s) if len(s) else None for s in sets], pa.int64()),
+                        pa.array([class_id(s, SECOND) if len(s) else None for s in sets], pa.int64()),
                         pa.array(bands, pa.list_(pa.int64())),
                         pa.array(sigs, pa.binary()),
                     ],
-                    ["doc_id", "text_key", "n_shingles", "cid", "bands", "sig"],
+                    ["doc_id", "text_key", "n_shingles", "cid", "twin", "bands", "sig"],
                 )
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.xxhash64("text").alias("text_key"))
-    return rows.mapInArrow(sketch, "doc_id bigint, text_key bigint, n_shingles bigint, cid bigint, bands array<bigint>, sig binary")
+    return rows.mapInArrow(sketch, "doc_id bigint, text_key bigint, n_shingles bigint, cid bigint, twin bigint, bands array<bigint>, sig binary")
 
 
 def in_blocks(df: DataFrame, group: str, size: str, rows: int, member: str) -> DataFrame:
     """One row per block pair that a row takes part in: task, block, block_lo, block_hi.
 
-    A group of up to ``rows`` is one block.  A larger one is dealt into blocks of
-    about rows/2 and every pair of blocks becomes a task, so that each pair of
-    members meets in some task.
+    A group whose ``size`` (rows, or any sum over its rows) is up to ``rows`` is
+    one block.  A larger one is dealt into blocks of about half that and every
+    pair of blocks becomes a task, so that each pair of members meets in some task.
     """
     blocks = F.when(F.col(size) <= rows, 1).otherwise(F.ceil(F.col(size) * 2 / rows)).cast("int")
     own = F.pmod(F.xxhash64(member, F.lit(5)), F.col("_n")).cast("int")
@@ -164,8 +168,8 @@ def same_enough(parts: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return reached(len(parts), linked)
 
 
-def confirmed_links(docs: DataFrame, groups: DataFrame, k: int, percent: int, block_rows: int) -> DataFrame:
-    """Forest edges of exact links; groups(cid, key, component, size): one member of each class.
+def confirmed_links(docs: DataFrame, groups: DataFrame, k: int, percent: int, block_shingles: int) -> DataFrame:
+    """Forest edges of exact links; groups(cid, digest, twin, key, component, size): one member of each class.
 
     key: the member's id, or its text hash where all of the class lack an id.
     """
@@ -175,7 +179,8 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, k: int, percent: int, bl
             for lo, hi, data, off in chunks(batch["text"]):
                 h, _, _, per = words(data, off)
                 sets, part = shingle_sets(h, per, k), batch.slice(lo, hi - lo)
-                own = [len(s) > 0 and class_id(s) == c for s, c in zip(sets, part["cid"].to_pylist(), strict=True)]
+                told = zip(sets, part["digest"].to_pylist(), part["twin"].to_pylist(), strict=True)
+                own = [len(s) > 0 and class_id(s) == c and class_id(s, SECOND) == d for s, c, d in told]
                 kept = part.filter(pa.array(own, pa.bool_()))  # another text under the same key falls out
                 yield pa.record_batch([kept["cid"], kept["component"], kept["size"], pa.array([s.tobytes() for s, x in zip(sets, own, strict=True) if x], pa.binary())], ["cid", "component", "size", "shingles"])
 
@@ -183,7 +188,7 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, k: int, percent: int, bl
     texts = docs.select(F.coalesce(own_id, F.xxhash64("text")).alias("key"), F.col("text").cast("string"), own_id.isNull().alias("_none"))
     likely = with_maybe(texts, "key", groups, "key", "_may").where("_may").drop("_may")  # most texts stay where they are
     likely = likely.where("not _none").unionByName(likely.where("_none").dropDuplicates(["key"]))  # copies without an id have one key
-    sets = likely.join(groups.hint("merge"), "key").select("text", "cid", "component", "size").mapInArrow(to_sets, "cid bigint, component bigint, size bigint, shingles binary")
+    sets = likely.join(groups.hint("merge"), "key").select("text", "cid", "digest", "twin", "component", "size").mapInArrow(to_sets, "cid bigint, component bigint, size bigint, shingles binary")
 
     def confirm(runs: Iterator) -> Iterator[pa.RecordBatch]:
         for table, cuts in runs:
@@ -196,18 +201,21 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, k: int, percent: int, bl
             both = np.array(edges, np.int64).reshape(-1, 2)
             yield pa.record_batch([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
 
-    return by_run(in_blocks(sets, "component", "size", block_rows, "cid").select("task", "cid", "shingles"), "task", confirm, "u bigint, v bigint")
+    return by_run(in_blocks(sets, "component", "size", block_shingles, "cid").select("task", "cid", "shingles"), "task", confirm, "u bigint, v bigint")
 
 
-def grouped(docs: DataFrame, k: int, percent: int, margin: float, bucket_rows: int, block_rows: int) -> DataFrame:
+def grouped(docs: DataFrame, k: int, percent: int, margin: float, bucket_rows: int, block_shingles: int) -> DataFrame:
     """(doc_id, text_key, n_shingles, component, first) per row; first: the least (doc_id, text_key) of its group, null ids last."""
-    rows = checkpointed(sketches(docs, k))
+    rows = without_clashes(checkpointed(sketches(docs, k).withColumn("digest", F.col("cid"))), "cid", "twin")
     full = rows.where("cid is not null")
-    classes = checkpointed(full.groupBy("cid").agg(F.coalesce(F.min("doc_id"), F.min("text_key")).alias("key"), F.first("bands").alias("bands"), F.first("sig").alias("sig")))
+    own = [F.first(c).alias(c) for c in ("digest", "twin", "n_shingles", "bands", "sig")]
+    classes = checkpointed(full.groupBy("cid").agg(F.coalesce(F.min("doc_id"), F.min("text_key")).alias("key"), *own))
     coarse = connected_components(likely_links(classes.select("cid", "bands", "sig"), percent / 100 - margin, bucket_rows))
-    sized = coarse.groupBy("component").agg(F.count("*").alias("size")).select(rekey("component"), "size")
-    groups = checkpointed(coarse.withColumnRenamed("node", "cid").join(sized, "component").join(classes.select("cid", "key"), "cid"))
-    exact = connected_components(confirmed_links(docs, groups, k, percent, block_rows))
+    members = coarse.withColumnRenamed("node", "cid").join(classes.select("cid", "digest", "twin", "n_shingles", "key"), "cid")
+    members = checkpointed(members)
+    sized = members.groupBy("component").agg(F.sum("n_shingles").alias("size")).select(rekey("component"), "size")
+    groups = checkpointed(members.join(sized, "component").drop("n_shingles"))
+    exact = connected_components(confirmed_links(docs, groups, k, percent, block_shingles))
     merged = rows.select("doc_id", "text_key", "n_shingles", "cid").join(exact.select(F.col("node").alias("cid"), F.col("component")), "cid", "left")
     merged = checkpointed(merged.select("doc_id", "text_key", "n_shingles", F.coalesce("component", "cid").alias("component")))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
@@ -216,20 +224,20 @@ def grouped(docs: DataFrame, k: int, percent: int, margin: float, bucket_rows: i
     return merged.join(named, "component", "left")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, margin: float = 0.15, bucket_rows: int = 2048, block_rows: int = 128) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, margin: float = 0.15, bucket_rows: int = 2048, block_shingles: int = 1 << 18) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs(doc_id, text)."""
-    out = grouped(docs, k, percent, margin, bucket_rows, block_rows)
+    out = grouped(docs, k, percent, margin, bucket_rows, block_shingles)
     out = out.withColumn("component_id", F.coalesce("first.doc_id", "doc_id"))
     nameless = F.col("component_id").isNull() & F.coalesce(F.col("text_key") == F.col("first.text_key"), F.lit(True))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), nameless).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80, margin: float = 0.15, bucket_rows: int = 2048, block_rows: int = 128) -> DataFrame:
+def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80, margin: float = 0.15, bucket_rows: int = 2048, block_shingles: int = 1 << 18) -> DataFrame:
     """The rows of docs, all columns, with one row of every group: the least (doc_id, text hash), null ids last.
 
     Texts without a word stay, every one of them.  Rows repeated whole count as one.
     """
-    found = checkpointed(grouped(docs, k, percent, margin, bucket_rows, block_rows).where("component is not null").select("doc_id", "text_key", "first"))
+    found = checkpointed(grouped(docs, k, percent, margin, bucket_rows, block_shingles).where("component is not null").select("doc_id", "text_key", "first"))
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & F.col("text_key").eqNullSafe(F.col("first.text_key"))
     gone = checkpointed(found.where(~same & F.col("first").isNotNull()).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct())
     text = F.col("text").cast("string")

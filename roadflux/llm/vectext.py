@@ -73,6 +73,8 @@ def _segment(data: np.ndarray, heads: np.ndarray, fold: bool) -> tuple[np.ndarra
     place = at - np.repeat(starts, ends - starts)
     value = (LOWER[data[at]] if fold else data[at]).astype(_U) + _U(1)
     value *= _POWERS[place & 4095]
+    if len(place) and place.max() > 4095:  # every further 4,096 bytes of a word have weights of their own
+        value *= np.where(place > 4095, mix((place >> 12).astype(_U)) | _U(1), _U(1))
     at = np.cumsum(ends - starts)
     total = np.add.reduceat(value, np.concatenate(([0], at[:-1])))
     return mix(total + (ends - starts).astype(_U) * _ODD), starts, ends

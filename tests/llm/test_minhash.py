@@ -54,7 +54,7 @@ def corpus(seed=3):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize(("k", "options"), [(4, {}), (5, {"bucket_rows": 6, "block_rows": 4})], ids=["whole buckets", "block pairs"])
+@pytest.mark.parametrize(("k", "options"), [(4, {}), (5, {"bucket_rows": 6, "block_shingles": 200})], ids=["whole buckets", "block pairs"])
 def test_against_brute_force(spark, k, options):
     rows = corpus()
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), k=k, percent=80, **options)
@@ -72,7 +72,7 @@ def test_a_star_of_variants_is_one_component(spark):
         own[at], own[at + 1] = f"x{v}", f"y{v}"
         rows.append((v, " ".join(own)))
     rows.insert(70, (500, " ".join(words)))
-    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), k=4, bucket_rows=16, block_rows=10)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), k=4, bucket_rows=16, block_shingles=500)
     assert sorted(map(tuple, got.collect())) == sorted(brute(rows, 4, 80))
 
 
@@ -115,6 +115,22 @@ def test_very_long_text(spark):
     assert got[1].n_shingles == len(shingles(rows[0][1], 5))
 
 
+def test_very_long_words_differ(spark):
+    """Words of several thousand bytes, as in scripts without blanks, that hold the same blocks in another order."""
+    rows = [(1, "ab" * 2048 + "cd" * 2048), (2, "cd" * 2048 + "ab" * 2048), (3, "ab" * 2048 + "cd" * 2048), (4, "ab" * 2048 + "cd" * 2049), (5, "x" * 4096 + "y" + "x" * 4095), (6, "y" + "x" * 8191)]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5, 6: 6}
+
+
+def test_classes_agree_in_both_digests(spark, monkeypatch):
+    """Digests of very few bits clash all the time: nothing but the second digest keeps the sets apart."""
+    rows = corpus(4)
+    real = minhash.class_id
+    monkeypatch.setattr(minhash, "class_id", lambda s, salt=0: real(s, salt) % 5 if salt != minhash.SECOND else real(s, salt))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), k=4)
+    assert sorted(map(tuple, got.collect())) == sorted(brute(rows, 4, 80))
+
+
 def test_word_primitives(monkeypatch):
     texts = ["Ab cd", None, "", "  x ", "tail\n", "ümlaut Ümlaut", "a" * 50, "b c " * 30]
     whole = [vectext.words(d, o) for _, _, d, o in vectext.chunks(pa.array(texts))]
