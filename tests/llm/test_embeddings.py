@@ -47,10 +47,10 @@ def data(seed=1):
     return rows + [(1000 + i, v, label, "y") for i, (v, label) in enumerate(odd)]
 
 
-@pytest.mark.parametrize("block_rows", [512, 4])
-def test_against_brute_force(spark, block_rows):
+@pytest.mark.parametrize("rows_a_block", [{}, {"block_rows": 4, "sketch_rows": 6}])
+def test_against_brute_force(spark, rows_a_block):
     rows = data()
-    got = embeddings.near_vectors(spark.createDataFrame(rows, SCHEMA).repartition(4), block_rows=block_rows)
+    got = embeddings.near_vectors(spark.createDataFrame(rows, SCHEMA).repartition(4), **rows_a_block)
     assert sorted(map(tuple, got.collect())) == brute(rows)
 
 
@@ -66,3 +66,28 @@ def test_misses_are_bounded_at_every_size(rows):
     bits, tables = embeddings.hash_shape(rows, 0.93)
     p = 1 - np.arccos(0.93) / np.pi
     assert (1 - p**bits) ** tables <= 1.01e-6
+
+
+def test_codes_do_not_depend_on_the_batch():
+    unit = np.random.default_rng(4).standard_normal((300, 96))
+    unit /= np.sqrt((unit * unit).sum(axis=1, keepdims=True))
+    whole, sketch = embeddings.codes_of(unit, 9, 30, 23), embeddings.sketches_of(unit, 23)
+    for at in range(0, 300, 7):
+        assert (embeddings.codes_of(unit[at : at + 1], 9, 30, 23) == whole[at]).all() and (embeddings.sketches_of(unit[at : at + 3], 23) == sketch[at : at + 3]).all()
+    for length in (3, 4096, 5000, 100_000):  # exact in any order: all partial sums below 2^53
+        planes = embeddings._planes(length, 2, 23)
+        assert (planes == np.rint(planes)).all() and np.abs(planes).max() * 2**20 * length < 2**53
+
+
+def test_sketches_pass_pairs_at_the_threshold():
+    rnd, limit = np.random.default_rng(5), embeddings.sketch_limit(0.93)
+    a = rnd.standard_normal((2000, 64))
+    a /= np.sqrt((a * a).sum(axis=1, keepdims=True))
+    b = rnd.standard_normal((2000, 64))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.sqrt((b * b).sum(axis=1, keepdims=True))
+    near, far = 0.93 * a + np.sqrt(1 - 0.93**2) * b, b
+    apart = lambda x: np.bitwise_count(embeddings.sketches_of(a, 23) ^ embeddings.sketches_of(x, 23)).sum(axis=1)
+    assert (apart(near) <= limit).all() and (apart(far) <= limit).mean() < 0.01
+    words = embeddings.sketches_of(np.concatenate((a[:300], near[:150])), 23)
+    assert embeddings.has_near(words, limit).tolist()[:150] == [True] * 150 and embeddings.has_near(words, limit)[150:300].mean() < 0.05
