@@ -18,6 +18,19 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judged(read(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def linking(pages: DataFrame) -> DataFrame:
+    """The pages, two of three with a canonical link or a refresh to the page after them."""
+    after = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("to")).where("page_id is not null")
+    tag = F.when(F.col("page_id") % 3 == 1, F.concat(F.lit('<link href="'), F.replace("to", F.lit("&"), F.lit("&amp;")), F.lit('" rel="canonical">')))
+    tag = tag.when(F.col("page_id") % 3 == 2, F.concat(F.lit('<META content="0; URL='), "to", F.lit('" http-equiv="refresh">')))
+    return pages.join(after, "page_id", "left").select("page_id", "url", F.concat(F.coalesce("html", F.lit("")), F.coalesce(tag, F.lit(""))).alias("html"))
+
+
+def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The url filter where there are links: the table's own pages hold none."""
+    return urlfilter.judged(linking(read(spark, sf_dir, "pages")), RULES).select("page_id", "host", "path", "rule", "verdict", (F.col("component").isNotNull()).alias("aliased"))
+
+
 def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.scratch_folder(spark, "warc")
     warc.write_archives(warc.captures_of(read(spark, sf_dir, "pages")), folder)
@@ -89,7 +102,7 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_url_filter, op2_warc_index, op3_toxicity, op4_language, op5_bpe, op6_quality, op7_decontamination, op8_minhash, op9_quotations, op10_embeddings, quoted_conversations]
+    own = [op1_url_filter, op2_warc_index, op3_toxicity, op4_language, op5_bpe, op6_quality, op7_decontamination, op8_minhash, op9_quotations, op10_embeddings, linked_pages, quoted_conversations]
     return {f.__name__: f for f in own}
 
 

@@ -21,6 +21,25 @@ SELECT u.page_id, u.host, u.path, best.rule AS rule, coalesce(best.verdict, 'all
 FROM u LEFT JOIN hit ON u.page_id IS NOT DISTINCT FROM hit.page_id AND u.url IS NOT DISTINCT FROM hit.url
 """
 
+#: Two of three pages point to the page after them; blocks and allows pass along these links.
+LINKED = f"""
+WITH RECURSIVE u AS (SELECT *, host || CASE WHEN path = '' THEN '/' ELSE path END || coalesce(nullif(regexp_extract(split_part(url, '#', 1), '[?].*$'), ''), '') AS node FROM ({_URL})),
+rules(verdict, name, start, rule) AS (VALUES ('block', 'net', '/', 'net/'), ('allow', 'example.net', '/en/', 'example.net/en/'),
+                                            ('block', 'example.com', '/de/', 'example.com/de/'), ('allow', 'org', '/fr/', 'org/fr/')),
+hit AS (
+  SELECT host, path, max_by(struct_pack(verdict := verdict, rule := rule), length(rule)) AS best
+  FROM (SELECT DISTINCT host, path FROM u) JOIN rules ON (host = name OR ends_with(host, '.' || name)) AND starts_with(path, start)
+  GROUP BY host, path),
+e AS (SELECT DISTINCT a.node AS x, b.node AS y FROM u a JOIN u b ON b.page_id = a.page_id + 1 WHERE a.page_id % 3 <> 0 AND a.node <> b.node),
+b AS (SELECT x, y FROM e UNION SELECT y, x FROM e),
+walk AS (SELECT x AS node, x AS seen FROM b UNION SELECT walk.node, b.y FROM walk JOIN b ON b.x = walk.seen),
+told AS (SELECT walk.node, bool_or(best.verdict = 'allow') AS allow, bool_or(best.verdict = 'block') AS block
+         FROM walk JOIN u ON u.node = walk.seen LEFT JOIN hit ON hit.host = u.host AND hit.path = u.path GROUP BY walk.node)
+SELECT u.page_id, u.host, u.path, best.rule AS rule,
+       coalesce(best.verdict, CASE WHEN allow THEN 'allow' WHEN block THEN 'block' ELSE 'allow' END) AS verdict, told.node IS NOT NULL AS aliased
+FROM u LEFT JOIN hit ON hit.host = u.host AND hit.path = u.path LEFT JOIN told ON told.node = u.node
+"""
+
 OP2 = """
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 k AS (SELECT payload_digest, payload_bytes, max(page_id) AS keeper FROM p WHERE payload_bytes >= 1000 GROUP BY ALL)
@@ -73,4 +92,4 @@ messages AS (
   FROM conversations c LEFT JOIN said a ON a.conv_id = c.conv_id AND a.turn = c.turn - 1 LEFT JOIN said b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2
   LEFT JOIN said o ON o.conv_id = c.conv_id + 1 AND o.turn = 0),""" + _OP9
 
-ORACLES = {"op1_url_filter": OP1, "op2_warc_index": OP2, "op9_quotations": OP9, "quoted_conversations": QUOTED}
+ORACLES = {"op1_url_filter": OP1, "linked_pages": LINKED, "op2_warc_index": OP2, "op9_quotations": OP9, "quoted_conversations": QUOTED}

@@ -1,5 +1,10 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
 from roadflux.llm.queries import RULES
-from roadflux.llm.urlfilter import judged, link_targets
+from roadflux.llm.urlfilter import judged, link_targets, undotted
 
 PAGE = "page_id bigint, url string, html string, host string"
 
@@ -47,11 +52,45 @@ def test_decisions_pass_to_aliases(spark):
         (3, "https://b.info/x?q=1", None),  # another query is another url
         (4, "http://c.info/", canon("http://bad.net/y")), (5, "http://c.info", fresh("http://good.org/fr/")),  # blocked and allowed: allow first
         (6, "http://bad.net/y", None),  # its own rule stands
-        (7, "http://d.info/p/q", canon("../x")), (8, "http://e.info/", canon("")), (9, "http://e.info/", None),
+        (7, "http://d.info/p/q", canon("../x")), (10, "http://d.info/x?", None), (8, "http://e.info/", canon("")), (9, "http://e.info/", None),
         (1, "http://a.info/x", canon("http://bad.net/x")),
     ]
     got = verdicts(judged(pages(spark, rows), RULES))
-    assert {k: v[3] for k, v in got.items()} == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "block", 7: "allow", 8: "allow", 9: "allow"}
+    assert {k: v[3] for k, v in got.items()} == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow", 6: "block", 7: "allow", 8: "allow", 9: "allow", 10: "allow"}
+
+
+def test_links_as_a_browser_reads_them(spark):
+    rows = [
+        (1, None, canon("http:///")), (2, "no scheme", None), (3, "http:///", canon("http://bad.net/")), (4, "http:///x", None),  # urls without a host part have no node
+        (5, "http://a.info/x", canon("/go?u=http://bad.net/p")), (6, "http://a.info/go?u=http://bad.net/p", None),  # the scheme is not at the start
+        (7, "http://b.info/f/g", canon("#top")), (8, "http://b.info/f/h", canon("http://bad.net/")), (9, "http://b.info/f/", None),
+        (10, "http://c.info/f/g?a=1", canon("?id=2")), (11, "http://c.info/f/g?id=2", canon("http://bad.net/")), (12, "http://c.info/f/?id=2", None),
+        (13, "http://d.info/x?a=1&b=2", None), (14, "http://d.info/y", canon("/x?a=1&amp;b=2")), (15, "http://d.info/z", canon("x?a=1&#38;b=2") + fresh("http://bad.net/")),
+        (16, "http://e.info/p/q/r", canon("../../x/./y/")), (17, "http://e.info/x/y/", canon("http://bad.net/")), (18, "http://e.info/p/q/../../x/y/", None),
+        (19, "http://f.info/", canon("mailto:someone@bad.net") + canon("javascript:go('http://bad.net/')")), (20, "http://g.info/", canon("http://h.info/") + canon("http://bad.net/")),
+    ]
+    got = {k: v[3] for k, v in verdicts(judged(pages(spark, rows), RULES)).items()}
+    assert {k for k, v in got.items() if v == "block"} == {3, 8, 10, 11, 13, 14, 15, 16, 17, 18, 20}
+
+
+@pytest.mark.parametrize("path", ["", "/", "/a", "/a/..", "/a/.", "/a/../..", "/./a//b/../c", "/a/b/..", "/.hidden/x", "/a..b/", "/../x/"])
+def test_dot_segments(spark, path):
+    from urllib.parse import urljoin
+
+    got = spark.createDataFrame([(path,)], "path string").select(undotted(F.col("path"))).first()[0]
+    assert got == (urljoin("http://h", path).removeprefix("http://h") or "/")
+
+
+def test_rules_by_join_are_the_compiled_rules(spark):
+    rnd = random.Random(3)
+    hosts = ["net", "a.net", "b.a.net", "org", "x.org", "c.b.a.net", "et", "", "info"]
+    paths = ["", "/", "/e", "/en/", "/en/x", "/de/", "/d"]
+    rules = [(rnd.choice(["block", "allow"]), rnd.choice(hosts[:6]) + rnd.choice(paths[1:])) for _ in range(30)]
+    rows = pages(spark, [(i, rnd.choice(["http://", "x://", ""]) + rnd.choice(hosts) + rnd.choice(paths) + rnd.choice(["", "?q", "#f"]), canon(f"http://{rnd.choice(hosts[:6])}/")) for i in range(120)])
+    table = spark.createDataFrame([*rules, (None, "net/"), ("block", None)], "verdict string, rule string")
+    assert verdicts(judged(rows, rules)) == verdicts(judged(rows, table))
+    many = [*rules, *[("block", f"site{i}.example/") for i in range(3000)]]
+    assert verdicts(judged(rows, rules)) == verdicts(judged(rows, many))
 
 
 def test_given_redirects(spark):
