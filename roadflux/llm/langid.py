@@ -7,13 +7,18 @@ left extensions, so they follow from the same table.  The model is a set of
 sorted 64-bit hash arrays, one per order, with one column of interpolated log
 probabilities a language; lookups go through the leading hash bits.
 
-Texts are folded to lower-case letters, everything else being one blank.  A
+Texts are folded to lower-case letters with their combining marks, everything else being one blank.  A
 character of the basic plane takes 16 bits, so four of them pack into one
-integer without loss; letters beyond it share one code.
-
-The best language has the lowest cross-entropy per letter-or-blank.  It is
-rejected if that lies above what its own training texts show: mean plus
-``sigmas`` standard deviations, measured over texts of similar length.
+integer without loss; letters beyond it share the 8,192 codes from 0xD800 on.
+
+The best language has the lowest cross-entropy per letter-or-blank.  Whether it is
+accepted depends on a ceiling per language and length class, calibrated on training
+texts that a trial model has not seen (a tenth of them by text hash; the final model
+learns from all).  Their entropies under their own language are what should pass.
+With the true language's model taken away, the best of the others shows what a text
+of an unknown language scores, which should not pass.  The ceiling lies as many
+standard deviations above the former as below the latter, but at least ``least`` and
+at most ``sigmas`` above.
 score = the softmax of the languages' cross-entropies over a fixed number of
 characters, so long texts do not saturate it at once.
 
@@ -26,12 +31,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import category
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from .common import checkpointed
 from .vectext import mix
@@ -43,26 +49,31 @@ _U = np.uint64
 
 
 @lru_cache(1)
-def _fold_table() -> np.ndarray:
-    """Code per code point: its lower-case letter, 1 for letters beyond 16 bits, else blank (32)."""
-    table = np.full(0x110000, 32, np.uint16)
+def _fold_table() -> tuple[np.ndarray, np.ndarray]:
+    """Per code point: its code (lower-case letter or mark, else blank, 32) and whether it is a letter."""
+    table, letter = np.full(0x110000, 32, np.uint16), np.zeros(0x110000, bool)
     for cp in range(0x110000):
-        if not 0xD800 <= cp < 0xE000 and (c := chr(cp)).isalpha():
-            low = c.lower()
-            code = ord(low[0])
-            table[cp] = code if code < 0x10000 else 1
-    return table
+        if 0xD800 <= cp < 0xE000 or 0xFE00 <= cp < 0xFE10:  # variation selectors are no part of a word
+            continue
+        c = chr(cp)
+        letter[cp] = c.isalpha()
+        if letter[cp] or category(c)[0] == "M":
+            code = ord(c.lower()[0])
+            table[cp] = code if code < 0x10000 else 0xD800 + (code & 0x1FFF)
+    return table, letter
 
 
 def folded(text: str | None) -> np.ndarray:
     """Codes with single blanks around and between words; empty if there is no letter."""
     if not text:
         return np.zeros(0, np.uint16)
-    raw = text.encode("utf-32-le", "replace")
-    code = np.concatenate((np.array([32], np.uint16), _fold_table()[np.frombuffer(raw, np.uint32)], np.array([32], np.uint16)))
+    table, letter = _fold_table()
+    raw = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    if not letter[raw].any():
+        return np.zeros(0, np.uint16)
+    code = np.concatenate((np.array([32], np.uint16), table[raw], np.array([32], np.uint16)))
     blank = code == 32
-    code = code[np.concatenate(([True], ~(blank[1:] & blank[:-1])))]
-    return code if len(code) > 1 else np.zeros(0, np.uint16)
+    return code[np.concatenate(([True], ~(blank[1:] & blank[:-1])))]
 
 
 def grams(code: np.ndarray, order: int = ORDER) -> np.ndarray:
@@ -102,23 +113,28 @@ def pieces(code: np.ndarray) -> Iterator[np.ndarray]:
         yield grams(code[max(0, at - ORDER + 2) : at + step + 1])[at - max(0, at - ORDER + 2) :] if at else grams(code[: step + 1])
 
 
+def trial_fold() -> Column:
+    """The tenth of the texts, all copies of a text alike, that the trial model does not learn."""
+    return F.pmod(F.xxhash64(F.col("text").cast("string"), F.lit(10)), F.lit(10)) == 0
+
+
 def counted(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n) over all rows of docs(text, lang)."""
+    """(lang, gram, n, n_trial) over all rows of docs(text, lang); n_trial: without the texts kept for calibration."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies: dict[str, Tally] = {}
+        tallies: dict[tuple[str, bool], Tally] = {}
         for batch in batches:
-            for text, lang in zip(batch["text"], batch["lang"].to_pylist(), strict=True):
+            for text, *key in zip(batch["text"], batch["lang"].to_pylist(), batch["kept"].to_pylist(), strict=True):
                 for found in pieces(folded(text.as_py())):
-                    tallies.setdefault(lang, Tally()).add(found)
-        for lang, tally in tallies.items():
+                    tallies.setdefault(tuple(key), Tally()).add(found)
+        for (lang, kept), tally in tallies.items():
             tally.compact()
             for at in range(0, len(tally.keys), CHUNK):
-                keys = tally.keys[at : at + CHUNK]
-                yield pa.record_batch([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(tally.counts[at : at + CHUNK])], ["lang", "gram", "n"])
+                keys, n = tally.keys[at : at + CHUNK], tally.counts[at : at + CHUNK]
+                yield pa.record_batch([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n), pa.array(n * (not kept))], ["lang", "gram", "n", "n_trial"])
 
-    rows = docs.where("lang is not null and text is not null").select(F.col("text").cast("string"), F.col("lang").cast("string"))
-    return rows.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rows = docs.where("lang is not null and text is not null").select(F.col("text").cast("string"), F.col("lang").cast("string"), trial_fold().alias("kept"))
+    return rows.mapInArrow(run, "lang string, gram bigint, n bigint, n_trial bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("n_trial").alias("n_trial"))
 
 
 class KneserNey:
@@ -224,38 +240,21 @@ class KneserNey:
         return np.unique(found, return_inverse=True)
 
 
-def within_size(table: DataFrame, max_cells: int) -> DataFrame:
-    """The table, if its rows times its languages are at most ``max_cells``; else without its rarest n-grams.
-
-    The cut-off, the least that suffices, is applied to all languages alike, so a
-    rare language can lose all it has: ``train`` does not use it and learns from
-    every n-gram at every size.
-    """
-    sizes = table.groupBy("n").agg(F.count("*").alias("rows")).orderBy(F.desc("n"))
-    langs = table.select("lang").distinct().count()
-    if table.count() * langs <= max_cells:
-        return table
-    low, high = 1, table.agg(F.max("n")).first()[0] + 1
-    while low < high:  # a search over the cut-off, each step a sum over the counts of counts
-        mid = (low + high) // 2
-        if (sizes.where(F.col("n") >= mid).agg(F.sum("rows")).first()[0] or 0) * langs <= max_cells:
-            high = mid
-        else:
-            low = mid + 1
-    return table.where(F.col("n") >= low)
-
-
 def train(docs: DataFrame) -> KneserNey:
     """The model of every n-gram of every training text; it grows with their distinct n-grams times the languages."""
-    table = checkpointed(counted(docs)).toArrow().combine_chunks()
+    return model_of(checkpointed(counted(docs)), "n")
+
+
+def model_of(counts: DataFrame, n: str) -> KneserNey:
+    table = counts.where(F.col(n) > 0).select("lang", "gram", n).toArrow().combine_chunks()
     lang = table["lang"].combine_chunks().dictionary_encode()
-    keys, n, codes = table["gram"].to_numpy().view(_U), table["n"].to_numpy(), lang.indices.to_numpy()
+    keys, number, codes = table["gram"].to_numpy().view(_U), table[n].to_numpy(), lang.indices.to_numpy()
     langs = sorted(lang.dictionary.to_pylist())
     tables = {}
     for x in langs:
         at = np.flatnonzero(codes == lang.dictionary.index(x).as_py())
         at = at[np.argsort(keys[at])]
-        tables[x] = keys[at], n[at]
+        tables[x] = keys[at], number[at]
     return KneserNey(langs, tables)
 
 
@@ -285,13 +284,13 @@ def _entropies(model: KneserNey, texts: list[str | None]) -> tuple[np.ndarray, n
     return -sums / np.maximum(lengths, 1)[:, None], lengths
 
 
-def scored(docs: DataFrame, model: KneserNey, keep: list[str], text: str = "text") -> DataFrame:
-    """keep + (lang_best, entropy, length, score): struct columns are carried untouched."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def scored(docs: DataFrame, model: KneserNey, ceilings: np.ndarray, keep: list[str], text: str = "text") -> DataFrame:
+    """keep + (lang_pred, entropy, score, rejected): struct columns are carried untouched; ceilings: (languages, length classes)."""
+    shared = docs.sparkSession.sparkContext.broadcast((model, ceilings))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(text).cast("string").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own, limits = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -302,43 +301,75 @@ def scored(docs: DataFrame, model: KneserNey, keep: list[str], text: str = "text
                     low = entropy[np.arange(len(best)), best]
                     score = 1 / np.exp(-np.minimum(lengths, 20)[:, None] * (entropy - low[:, None])).sum(axis=1)
                     names = np.array([*own.langs, "und"], object)[np.where(none, len(own.langs), best)]
+                    rejected = none | (low > limits[best, np.searchsorted(LENGTHS, lengths)])
                 else:
-                    low, score, names = np.zeros(len(none)), np.zeros(len(none)), np.full(len(none), "und", object)
-                yield pa.record_batch([part["_row"], pa.array(names.tolist(), pa.string()), pa.array(low), pa.array(lengths), pa.array(np.where(none, 0.0, score))], ["_row", "lang_best", "entropy", "length", "score"])
+                    low, score, names, rejected = np.zeros(len(none)), np.zeros(len(none)), np.full(len(none), "und", object), np.ones(len(none), bool)
+                yield pa.record_batch([part["_row"], pa.array(names.tolist(), pa.string()), pa.array(low), pa.array(np.where(none, 0.0, score)), pa.array(rejected)], ["_row", "lang_pred", "entropy", "score", "rejected"])
 
-    found = [StructField("lang_best", StringType()), StructField("entropy", DoubleType()), StructField("length", LongType()), StructField("score", DoubleType())]
+    found = [StructField("lang_pred", StringType()), StructField("entropy", DoubleType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())]
     out = rows.mapInArrow(run, StructType([rows.schema["_row"], *found]))
-    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in keep], "lang_best", "entropy", "length", "score")
-
+    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in keep], "lang_pred", "entropy", "score", "rejected")
 
-def length_class() -> Column:
-    out = F.lit(len(LENGTHS) - 1)
-    for i in range(len(LENGTHS) - 2, -1, -1):
-        out = F.when(F.col("length") <= int(LENGTHS[i]), i).otherwise(out)
-    return out
 
+def trials(docs: DataFrame, model: KneserNey) -> DataFrame:
+    """(lang, class, own, entropy): what docs(text, lang) score under their language, if it is the best, and under the best of the others."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-def calibration(results: DataFrame, truth: str, sigmas: float) -> DataFrame:
-    """(lang_best, class, ceiling): one row per language and length class, so bounded by the languages."""
-    own = results.where(F.col("lang_best") == F.col(truth)).withColumn("class", length_class())
-    return own.groupBy("lang_best", "class").agg((F.avg("entropy") + sigmas * F.greatest(F.coalesce(F.stddev_samp("entropy"), F.lit(0.0)), F.lit(0.05))).alias("ceiling"), F.count("*").alias("texts"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        place = {x: i for i, x in enumerate(model.langs)}
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                entropy, lengths = _entropies(model, part["text"].to_pylist())
+                truth = np.array([place.get(x, -1) for x in part["lang"].to_pylist()])
+                some = np.flatnonzero((lengths > 0) & (truth >= 0))
+                entropy, truth, kind = entropy[some], truth[some], np.searchsorted(LENGTHS, lengths[some])
+                right = np.flatnonzero(entropy.argmin(axis=1) == truth) if len(some) else some
+                out = [(truth[right], kind[right], np.ones(len(right), bool), entropy[right, truth[right]])]
+                if len(model.langs) > 1 and len(some):
+                    entropy[np.arange(len(some)), truth] = np.inf
+                    other = entropy.argmin(axis=1)
+                    out.append((other, kind, np.zeros(len(some), bool), entropy[np.arange(len(some)), other]))
+                lang, kind, own, value = (np.concatenate(x) for x in zip(*out, strict=True))
+                yield pa.record_batch([pa.array([model.langs[i] for i in lang.tolist()], pa.string()), pa.array(kind.astype(np.int32)), pa.array(own), pa.array(value)], ["lang", "class", "own", "entropy"])
+
+    return docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(run, "lang string, class int, own boolean, entropy double")
+
+
+def ceilings_of(found: DataFrame, langs: list[str], least: float, sigmas: float, least_texts: int = 20) -> np.ndarray:
+    """(languages, length classes) from ``trials``.
+
+    Where fewer than ``least_texts`` texts of a language speak for a class, those of all
+    languages do; if they are too few as well, there is no ceiling.
+    """
+    stats = found.cube("lang", "class", "own").agg(F.count("*").alias("texts"), F.avg("entropy").alias("mean"), F.coalesce(F.stddev_samp("entropy"), F.lit(0.0)).alias("sd"))
+    told = {(r["lang"], r["class"], r["own"]): (r["texts"], r["mean"], max(r["sd"], 0.02)) for r in stats.where("class is not null and own is not null").collect() if r["texts"] >= least_texts}
+    out = np.full((len(langs), len(LENGTHS)), np.inf)
+    for i, lang in enumerate(langs):
+        for kind in range(len(LENGTHS)):
+            own = told.get((lang, kind, True)) or told.get((None, kind, True))
+            others = told.get((lang, kind, False)) or told.get((None, kind, False))
+            if own and others:
+                apart = (others[1] - own[1]) / (own[2] + others[2])
+                out[i, kind] = own[1] + own[2] * min(max(apart, least), sigmas)
+            elif own:
+                out[i, kind] = own[1] + own[2] * sigmas
+    return out
 
 
-def identify(docs: DataFrame, learn: Column, keep: list[str], sigmas: float = 8.0) -> DataFrame:
+def identify(docs: DataFrame, learn: Column, keep: list[str], least: float = 8.0, sigmas: float = 12.0) -> DataFrame:
     """keep + (lang_pred, score, rejected) for every row of docs(text, lang).
 
-    ``learn`` marks the rows whose text and lang may be learned from; it is also
-    the set on which the rejection ceilings are measured.  ``keep`` names the
-    columns to carry.  A class of fewer than 20 training texts rejects nothing.
+    ``learn`` marks the rows whose text and lang may be learned from; the ceilings of
+    rejection come from the tenth of them that the trial model left out.
+    ``keep`` names the columns to carry.
     """
-    marked = docs.withColumn("_learn", learn)
-    model = train(marked.where("_learn"))
-    names = [*keep, "_truth"]
-    marked = marked.withColumn("_truth", F.when(F.col("_learn"), F.col("lang").cast("string")))
-    results = checkpointed(scored(marked, model, names))
-    ceilings = {(r["lang_best"], r["class"]): r["ceiling"] for r in calibration(results, "_truth", sigmas).where("texts >= 20").collect()}
-    limit = F.lit(None).cast("double")
-    for (lang, at), value in sorted(ceilings.items()):
-        limit = F.when((F.col("lang_best") == lang) & (length_class() == at), value).otherwise(limit)
-    rejected = (F.col("lang_best") == "und") | F.coalesce(F.col("entropy") > limit, F.lit(False))
-    return results.select(*[F.col(f"`{c}`") for c in keep], F.col("lang_best").alias("lang_pred"), "score", rejected.alias("rejected"))
+    known = docs.where(learn).where("lang is not null and text is not null")
+    counts = checkpointed(counted(known))
+    trial = model_of(counts, "n_trial")
+    found = trials(known.where(trial_fold()), trial)
+    langs = [r["lang"] for r in counts.select("lang").distinct().orderBy("lang").collect()]
+    ceilings = ceilings_of(found, langs, least, sigmas)
+    del trial
+    return scored(docs, model_of(counts, "n"), ceilings, keep).drop("entropy")
