@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -37,6 +37,21 @@ def rekey(column: str) -> Column:
     return F.col(column).bitwiseXOR(F.lit(0).cast("bigint")).alias(column)
 
 
+def bounded_texts(docs: DataFrame, chosen: DataFrame, total_bytes: int, longest_bytes: int) -> DataFrame:
+    """chosen's columns + text for the rows of chosen(doc_id, ...), a table of few rows, that have a text.
+
+    A doc_id that several rows share stands for the least text among them.  Texts
+    beyond ``longest_bytes`` are not drawn, and in the order of the ids' hashes
+    texts are drawn until ``total_bytes`` are reached.
+    """
+    own = chosen.columns
+    picked = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id").groupBy(*own).agg(F.min("text").alias("text"))
+    picked = checkpointed(picked.withColumn("_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")))
+    order = Window.partitionBy().orderBy(F.xxhash64(*own), *own)  # ids and sizes of the few chosen rows only
+    drawn = picked.where(F.col("_bytes") <= longest_bytes).select(*own, F.sum("_bytes").over(order).alias("_upto")).where(F.col("_upto") <= total_bytes).drop("_upto")
+    return picked.join(F.broadcast(drawn), own).drop("_bytes")
+
+
 def without_clashes(rows: DataFrame, key: str, check: str) -> DataFrame:
     """rows whose 64-bit ``key`` is the same only where the second digest ``check`` is the same as well.
 

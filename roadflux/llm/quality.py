@@ -8,7 +8,7 @@ and a logistic unit scores the weighted sum.  Attention and scorer are learnt
 together from document labels by hand-written gradients (Adam).
 
 The training sample is bounded by ``bound`` labelled rows (lowest id hashes
-first); features are standardised on it.
+first) and by ``total_bytes`` of text, ``longest_bytes`` each; features are standardised on it.
 
 Defined cases: null, empty and word-less texts are one all-zero passage.
 With fewer than two classes to learn from, every score is the share of label 1.
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .common import bounded_texts
 from .vectext import chunks, words
 
 WORDS, MARKS = 64, 16
@@ -148,7 +149,7 @@ class AttentionMil:
         return out
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = 6000) -> AttentionMil:
+def train(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = 6000, total_bytes: int = 1 << 28, longest_bytes: int = 1 << 22) -> AttentionMil:
     """Fit on at most ``bound`` labelled rows that ``learn`` marks; docs(doc_id, text), labels(doc_id, quality).
 
     Rows with a null quality are not learnt from; several label rows of one
@@ -157,7 +158,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, bound: int = 6000)
     known = labels.select("doc_id", "quality").where(learn & F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-    picked = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
+    picked = bounded_texts(docs, chosen, total_bytes, longest_bytes)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -10,7 +10,8 @@ words, and an L1 proximal step keeps the weights few, so scoring a text of any
 length is one lookup a word.
 
 The training sample is bounded by ``positives`` and ``unlabelled`` rows (lowest
-id hashes first); the prior is counted over all labelled training rows.
+id hashes first) and by ``total_bytes`` of text, ``longest_bytes`` each; the prior is
+counted over all labelled training rows.
 
 Defined cases: null and empty texts score as the intercept alone.  Without a
 positive training row every score is the prior.  Repeated rows score alike.
@@ -26,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_texts
 from .vectext import chunks, words
 
 BITS = 20
@@ -66,6 +68,17 @@ class Linear:
         return 1 / (1 + np.exp(-np.clip(out, -30, 30)))
 
 
+def nnpu_risk(margin: np.ndarray, pos: np.ndarray, prior: float) -> tuple[float, float, np.ndarray]:
+    """(positive part, negative part before the cut at 0, direction of descent by margin) of the non-negative risk."""
+    n_pos, n_unl = int(pos.sum()), int((~pos).sum())
+    p = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
+    loss_neg = np.logaddexp(0, margin)
+    clean = loss_neg[~pos].mean() - prior * loss_neg[pos].mean()
+    lower = np.where(pos, -prior * p / n_pos, p / n_unl)
+    grad = lower + np.where(pos, prior * (p - 1) / n_pos, 0.0) if clean >= 0 else -lower
+    return prior * np.logaddexp(0, -margin[pos]).mean(), clean, grad
+
+
 def fit_nnpu(texts: np.ndarray, slots: np.ndarray, positive: np.ndarray, prior: float, steps: int = 300, rate: float = 0.1, strength: float = 0.3, least: int = 2) -> Linear:
     """Fit on (text, slot) pairs; positive marks the texts known to be positive.
 
@@ -82,17 +95,12 @@ def fit_nnpu(texts: np.ndarray, slots: np.ndarray, positive: np.ndarray, prior:
     keep = at[slots] >= 0
     texts, columns = texts[keep], at[slots[keep]]
     l1 = strength / len(pos)
-    n, (n_pos, n_unl) = len(pos), (int(pos.sum()), int((~pos).sum()))
+    n = len(pos)
     w, bias = np.zeros(len(known)), float(np.log(prior / (1 - prior)))
     first, second = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
     for step in range(1, steps + 1):
         margin = bias + np.bincount(texts, w[columns], n)
-        p = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
-        loss_neg = np.logaddexp(0, margin)
-        clean = loss_neg[~pos].mean() - prior * loss_neg[pos].mean()
-        # gradients of the two risk parts with respect to the margins
-        lower = np.where(pos, -prior * p / n_pos, p / n_unl)
-        grad = lower + np.where(pos, prior * (p - 1) / n_pos, 0.0) if clean >= 0 else -lower
+        grad = nnpu_risk(margin, pos, prior)[2]
         g = np.concatenate((np.bincount(columns, grad[texts], len(known)), [grad.sum()]))
         first = 0.9 * first + 0.1 * g
         second = 0.999 * second + 0.001 * g * g
@@ -105,7 +113,7 @@ def fit_nnpu(texts: np.ndarray, slots: np.ndarray, positive: np.ndarray, prior:
     return Linear(known[used], w[used], float(bias))
 
 
-def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = 4000, unlabelled: int = 12000) -> Linear:
+def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = 4000, unlabelled: int = 12000, total_bytes: int = 1 << 28, longest_bytes: int = 1 << 22) -> Linear:
     """Fit on at most ``positives`` + ``unlabelled`` labelled rows that ``learn`` marks.
 
     docs(doc_id, text), labels(doc_id, toxic).  A document with several label
@@ -119,7 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = 40
     chosen = known.where("toxic = 1").orderBy(*order).limit(positives).withColumn("pos", F.lit(True))
     # any training row may be drawn as unlabelled: its label is not looked at
     chosen = chosen.unionByName(known.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(unlabelled).withColumn("pos", F.lit(False)))
-    picked = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen.select("doc_id", "pos")), "doc_id")
+    picked = bounded_texts(docs, chosen.select("doc_id", "pos"), total_bytes, longest_bytes)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

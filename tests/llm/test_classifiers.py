@@ -1,11 +1,13 @@
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from roadflux.llm import langid, quality, toxicity
+from roadflux.llm import langid, quality, toxicity, vectext
+from roadflux.llm.common import bounded_texts
 
 WORDS = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("n", "ra", "sto", "li")]
 
@@ -75,6 +77,93 @@ def test_non_negative_risk_does_not_sink_on_hidden_positives():
     assert all(abs(v) < weights[3] / 2 for k, v in weights.items() if k != 3)
 
 
+def test_risk_against_a_plain_form():
+    import math
+
+    rnd = np.random.default_rng(8)
+    for shift in (-3.0, 0.0, 3.0):
+        margin, pos, prior = rnd.standard_normal(12) + shift, np.arange(12) < 5, 0.3
+        margin[:5] += 2 * (shift < 0)
+
+        def plain(m):
+            plus = [math.log(1 + math.exp(-x)) for x in m[:5]]
+            minus = [math.log(1 + math.exp(x)) for x in m]
+            return prior * sum(plus) / 5, sum(minus[5:]) / 7 - prior * sum(minus[:5]) / 5
+
+        up, down, grad = toxicity.nnpu_risk(margin, pos, prior)
+        assert (up, down) == pytest.approx(plain(margin))
+        for i in range(12):
+            step = margin.copy()
+            step[i] += 1e-6
+            a, b = plain(step)
+            want = (a - up) + (b - down) if down >= 0 else -(b - down)
+            assert grad[i] == pytest.approx(want / 1e-6, abs=1e-4)
+    assert toxicity.nnpu_risk(np.array([5.0, 5.0, -9.0, -9.0]), np.array([True, True, False, False]), 0.3)[1] < 0  # the cut is met
+
+
+def test_sample_is_bounded_and_one_text_an_id(spark):
+    rows = [(i, "word " * 20 + str(i)) for i in range(50)] + [(1, "a smaller text")] * 3 + [(2, "x" * 500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    chosen = spark.createDataFrame([(i, True) for i in range(60)], "doc_id bigint, pos boolean")
+    got = bounded_texts(docs, chosen, 10**6, 10**6).collect()
+    assert len(got) == 50 and {r.doc_id: r.text for r in got}[1] == "a smaller text"
+    assert sum(len(r.text) for r in bounded_texts(docs, chosen, 1000, 10**6).collect()) <= 1000
+    assert len(bounded_texts(docs.where("doc_id = 2 and length(text) = 500"), chosen, 1000, 400).collect()) == 0
+
+
+def plain_passages(text):
+    """The features of a document's passages, word by word."""
+    raw = (text or "").encode()
+    found = [(m.group(), m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0d]+", raw)]
+    fold = [w.translate(bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))) for w, _, _ in found]
+    hashes = {w: int(vectext.words(np.frombuffer(w, np.uint8), np.array([0, len(w)]))[0][0]) for w in set(fold)}
+    seen, pairs, out = set(), set(), []
+    for at in range(0, max(len(found), 1), quality.WORDS):
+        part = range(at, min(at + quality.WORDS, len(found)))
+        row = [0.0] * (quality.STATS + quality.MARKS)
+        if part:
+            stop = found[at + quality.WORDS][1] if at + quality.WORDS < len(found) else len(raw)
+            body = raw[found[at][1] : stop]
+            kind = lambda c: next((i for i, m in enumerate(quality._KINDS) if c in m), len(quality._KINDS) if c > 127 else -1)
+            for c in body:
+                if kind(c) >= 0:
+                    row[kind(c)] += 1 / len(body)
+            n, sizes = len(part), [found[i][2] - found[i][1] for i in part]
+            again = two = 0
+            for i in part:
+                again += fold[i] in seen
+                seen.add(fold[i])
+                two += (fold[i], fold[i + 1] if i + 1 < len(fold) else None) in pairs
+                pairs.add((fold[i], fold[i + 1] if i + 1 < len(fold) else None))
+            mean = sum(sizes) / n
+            follows = sum(i > 0 and fold[i] == fold[i - 1] for i in part)
+            stats = [len({fold[i] for i in part}) / n, follows / n, again / n, two / n, mean / 8, (sum(x * x for x in sizes) / n - mean * mean) ** 0.5 / 8, np.log1p(n) / 4, max(sizes) / 32]
+            row[len(quality._KINDS) + 1 : quality.STATS] = [min(x, 8) for x in stats]
+            for i in part:
+                row[quality.STATS + (hashes[fold[i]] >> 60)] += 1 / n
+        out.append(row)
+    return np.array(out)
+
+
+def plain_attention(model, rows):
+    w = model.w
+    h = [np.tanh(np.clip((x - model.mean) / model.std, -6, 6) @ w["E"] + w["e"]) for x in rows]
+    logit = np.array([sum(a * np.tanh(v @ x) / (1 + np.exp(-(u @ x))) for a, v, u in zip(w["a"], w["V"].T, w["U"].T, strict=True)) for x in h])
+    weight = np.exp(logit) / np.exp(logit).sum()
+    return 1 / (1 + np.exp(-(sum(a * x for a, x in zip(weight, h, strict=True)) @ w["c"] + w["d"][0])))
+
+
+def test_scores_against_a_plain_forward_pass(spark):
+    docs, labels = documents(spark, 200)
+    model = quality.train(docs, labels, F.lit(True))
+    texts = [r.text for r in docs.limit(60).collect()] + [None, "", "The the THE cat, cat!\n" * 70, "é è " * 65, "word " * 64, "a b " * 64 + "c"]
+    got = model.score(pa.array(texts, pa.string()))
+    for text, score in zip(texts, got, strict=True):
+        rows = plain_passages(text)
+        np.testing.assert_allclose(next(quality.passages(pa.array([text], pa.string())))[2], rows, atol=2e-5)
+        assert score == pytest.approx(plain_attention(model, rows), abs=1e-4)
+
+
 def test_attention_gradients():
     rnd = np.random.default_rng(3)
     model = quality.AttentionMil(6, 5, 4)
