@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from roadflux.storage import release
+
 from .common import checkpointed, rekey
 
 MARKS = r"^(?:[ \t]*>)+"
@@ -118,11 +120,11 @@ def threads(parents: DataFrame) -> DataFrame:
     state = checkpointed(parents.select("conv_id", "turn", F.col("parent_turn").alias("up"), F.lit(1).alias("depth")))
     while True:
         far = state.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        step = state.join(far, ["conv_id", "up"], "left")
-        state = checkpointed(step.select("conv_id", "turn", F.coalesce("next", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved")))
+        step = state.drop("moved").join(far, ["conv_id", "up"], "left")
+        before, state = state, checkpointed(step.select("conv_id", "turn", F.coalesce("next", "up").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("next").isNotNull().alias("moved")))
+        release(before)
         if state.where("moved").isEmpty():
             return state.select("conv_id", "turn", F.col("up").alias("thread_turn"), "depth")
-        state = state.drop("moved")
 
 
 def _ordered(out: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from roadflux.storage import materialize
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -13,17 +15,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder that the session names.
-
-    ``spark.checkpoint.dir`` is used where it is set; otherwise a folder below
-    the SQL warehouse, which driver and executors share as well.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        own = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(own or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
-    return df.checkpoint()
+    """Cut the lineage through the shared folder that the session names."""
+    return materialize(df)
 
 
 def rekey(column: str) -> Column:

@@ -1,7 +1,7 @@
 """Distributed connected components by alternating large-star and small-star.
 
 Edges stay in DataFrames throughout.  Each round is one checkpoint plus one
-tiny aggregate for the stop test; per-node minima are partially aggregated, and
+tiny aggregate for the stop test, and the round before it is removed; per-node minima are partially aggregated, and
 joins on hub nodes go through :func:`rekey`, so AQE can split them.
 """
 
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadflux.storage import release
+
 from .common import checkpointed, rekey
 
 EDGES_PER_TASK = 50_000
@@ -50,7 +52,8 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         seen = tuple(mark)
         # rounds do not add edges; few edges need few tasks and few files
         parts = max(1, -(-mark[0] // EDGES_PER_TASK))
-        edges = checkpointed(_small_star(_large_star(edges)).distinct().coalesce(parts))
+        before, edges = edges, checkpointed(_small_star(_large_star(edges)).distinct().coalesce(parts))
+        release(before)
     else:
         raise RuntimeError("connected components did not settle")
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

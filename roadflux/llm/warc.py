@@ -38,6 +38,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roadflux.storage import drop_folder, shared_folder
+
 from .common import checkpointed, rekey
 from .urlfilter import with_parts
 
@@ -309,13 +311,7 @@ def merged_index(runs: DataFrame, rows_per_range: int = 50_000) -> DataFrame:
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
-    checkpointed(spark.range(0))
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
-def drop_folder(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def captures_of(pages: DataFrame) -> DataFrame:
