@@ -6,14 +6,13 @@ it kept; all but the last return the columns of documents.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadflux.llm import bpe, decontaminate, langid, minhash, quality
 from roadflux.llm.common import learns, read
 from roadflux.llm.warc import scratch_folder
+from roadflux.storage import drop_folder
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -62,10 +61,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet in the shared folder and read again."""
-    folder = scratch_folder(spark, f"pipeline-{uuid.uuid4().hex[:8]}")
-    docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
+    """All stages over documents, each written as Parquet in the shared folder and read again; a stage's rows go when the next one has written its own."""
+    folder = scratch_folder(spark, "pipeline")
+    docs, before = read(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before:
+            drop_folder(spark, f"{folder}/{before}")
+        before = name
+    return docs
