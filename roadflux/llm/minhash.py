@@ -42,6 +42,7 @@ from .vectext import chunks, mix, shingle_sets, words
 
 BANDS, ROWS = 32, 4
 SECOND = 0x2545F4914F6CDD1D
+MOST_SHINGLES = 1 << 20  # 8 MB of hashes in a block of a large component
 _U = np.uint64
 
 
@@ -102,14 +103,17 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(sketch, "doc_id bigint, text_key bigint, n_shingles bigint, cid bigint, twin bigint, bands array<bigint>, sig binary")
 
 
-def in_blocks(df: DataFrame, group: str, size: str, rows: int, member: str) -> DataFrame:
+def in_blocks(df: DataFrame, group: str, size: str, rows: int, member: str, most: int | None = None) -> DataFrame:
     """One row per block pair that a row takes part in: task, block, block_lo, block_hi.
 
     A group whose ``size`` (rows, or any sum over its rows) is up to ``rows`` is
     one block.  A larger one is dealt into blocks of about half that and every
     pair of blocks becomes a task, so that each pair of members meets in some task.
+    ``most``: blocks of large groups grow to this, as long as 16 of them do; a row is then copied
+    that often and no more, until the groups are so large that blocks of ``most`` do not suffice.
     """
-    blocks = F.when(F.col(size) <= rows, 1).otherwise(F.ceil(F.col(size) * 2 / rows)).cast("int")
+    budget = F.greatest(F.lit(rows), F.least(F.col(size) / 8, F.lit(most or rows)))
+    blocks = F.when(F.col(size) <= rows, 1).otherwise(F.ceil(F.col(size) * 2 / budget)).cast("int")
     own = F.pmod(F.xxhash64(member, F.lit(5)), F.col("_n")).cast("int")
     dealt = df.withColumn("_n", blocks).withColumn("_b", own)
     others = F.filter(F.sequence(F.lit(0), F.col("_n") - 1), lambda x: x != F.col("_b"))
@@ -201,7 +205,7 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, k: int, percent: int, bl
             both = np.array(edges, np.int64).reshape(-1, 2)
             yield pa.record_batch([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
 
-    return by_run(in_blocks(sets, "component", "size", block_shingles, "cid").select("task", "cid", "shingles"), "task", confirm, "u bigint, v bigint")
+    return by_run(in_blocks(sets, "component", "size", block_shingles, "cid", max(block_shingles, MOST_SHINGLES)).select("task", "cid", "shingles"), "task", confirm, "u bigint, v bigint")
 
 
 def grouped(docs: DataFrame, k: int, percent: int, margin: float, bucket_rows: int, block_shingles: int) -> DataFrame:
@@ -224,7 +228,7 @@ def grouped(docs: DataFrame, k: int, percent: int, margin: float, bucket_rows: i
     return merged.join(named, "component", "left")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, margin: float = 0.15, bucket_rows: int = 2048, block_shingles: int = 1 << 18) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, margin: float = 0.15, bucket_rows: int = 2048, block_shingles: int = 1 << 15) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs(doc_id, text)."""
     out = grouped(docs, k, percent, margin, bucket_rows, block_shingles)
     out = out.withColumn("component_id", F.coalesce("first.doc_id", "doc_id"))
@@ -232,7 +236,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, margin: floa
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), nameless).alias("kept"))
 
 
-def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80, margin: float = 0.15, bucket_rows: int = 2048, block_shingles: int = 1 << 18) -> DataFrame:
+def deduplicated(docs: DataFrame, k: int = 5, percent: int = 80, margin: float = 0.15, bucket_rows: int = 2048, block_shingles: int = 1 << 15) -> DataFrame:
     """The rows of docs, all columns, with one row of every group: the least (doc_id, text hash), null ids last.
 
     Texts without a word stay, every one of them.  Rows repeated whole count as one.

@@ -115,6 +115,14 @@ def test_very_long_text(spark):
     assert got[1].n_shingles == len(shingles(rows[0][1], 5))
 
 
+def test_copies_of_a_large_group_are_bounded(spark):
+    """Blocks of a large group grow, so that a row is copied 16 times at most, until blocks are as large as they may be."""
+    for size, most, low, high in ((1000, 10**6, 1, 1), (4000, 10**6, 7, 8), (200_000, 10**6, 15, 16), (10**8, 10**6, 190, 200)):
+        df = spark.range(100).selectExpr("id AS cid", "1L AS component", f"{size}L AS size")
+        tasks = minhash.in_blocks(df, "component", "size", 1000, "cid", most).groupBy("cid").count().agg({"count": "max"}).first()[0]
+        assert low <= tasks <= high
+
+
 def test_very_long_words_differ(spark):
     """Words of several thousand bytes, as in scripts without blanks, that hold the same blocks in another order."""
     rows = [(1, "ab" * 2048 + "cd" * 2048), (2, "cd" * 2048 + "ab" * 2048), (3, "ab" * 2048 + "cd" * 2048), (4, "ab" * 2048 + "cd" * 2049), (5, "x" * 4096 + "y" + "x" * 4095), (6, "y" + "x" * 8191)]
