@@ -127,7 +127,7 @@ def default_vocabulary() -> str:
 
 
 def encoded(docs: DataFrame, path: str | None = None, pattern: str | None = None, ids: bool = True) -> DataFrame:
-    """docs' columns without ``text`` loss, plus n_tokens, ids_sha256, decoded_sha256 and, if asked for, token_ids.
+    """doc_id of every row of docs(doc_id, text), with n_tokens, ids_sha256, decoded_sha256 and, if asked for, token_ids.
 
     The vocabulary file is read on every executor: it belongs to an installed
     package or to a folder that all executors see.

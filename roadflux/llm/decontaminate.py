@@ -9,7 +9,8 @@ algorithm (one Python integer a column) finds the least edit distance of the
 whole item to any substring.
 
 Items go out in blocks of bounded size (``block_chars``), one pass over the documents
-for each, so neither the broadcast nor the automaton grows with the benchmark.
+for each, so neither the driver, which holds one block at a time, nor the broadcast nor the
+automaton grows with the benchmark.  A worker keeps the automaton of its block from task to task.
 
 Defined cases: null and empty texts match nothing.  Items whose normal form is
 shorter than ``least_chars`` are matched without edits and as whole words, those
@@ -19,11 +20,12 @@ as null.  Of several places the least distance counts, then the first end.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -147,6 +149,23 @@ class Matcher:
                 yield self.items[n], *best
 
 
+_MATCHER: dict[tuple, Matcher] = {}
+
+
+class Block:
+    """A broadcast of items under a name of its own, by which workers know it again."""
+
+    def __init__(self, spark: SparkSession, items: list[tuple[int | None, str]]) -> None:
+        self.name, self.shared = uuid.uuid4().hex, spark.sparkContext.broadcast(tuple(items))
+
+    def matcher(self, rate: float, least_chars: int) -> Matcher:
+        key = self.name, rate, least_chars
+        if key not in _MATCHER:
+            _MATCHER.clear()  # one block at a time
+            _MATCHER[key] = Matcher(list(self.shared.value), rate, least_chars)
+        return _MATCHER[key]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, least_chars: int = 32, block_chars: int = 4_000_000) -> DataFrame:
     """(doc_id, item_id, distance, match_end): one row per document and item found in it.
 
@@ -155,10 +174,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, leas
     kinds = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text != ''")
     out = None
-    for shared in item_blocks(benchmark, block_chars):
+    for block in item_blocks(benchmark, block_chars):
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, rate, least_chars)
+        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            matcher = block.matcher(rate, least_chars)
             for batch in batches:
                 found = [(i, *m) for i, text in enumerate(batch["text"]) for m in matcher.matches(normal(text.as_py()))]
                 at, item, distance, end = map(list, zip(*found, strict=True)) if found else ([], [], [], [])
@@ -170,8 +189,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, leas
     return out
 
 
-def item_blocks(benchmark: DataFrame, block_chars: int) -> list:
-    """Broadcasts of [(item_id, normalised text)], each of about ``block_chars`` at most."""
+def item_blocks(benchmark: DataFrame, block_chars: int) -> list[Block]:
+    """Broadcasts of (item_id, normalised text), each of about ``block_chars`` at most."""
     items = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text != ''")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_chars))
@@ -179,7 +198,7 @@ def item_blocks(benchmark: DataFrame, block_chars: int) -> list:
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         texts = [(r["item_id"], normal(r["text"])) for r in own]
-        out.append(benchmark.sparkSession.sparkContext.broadcast([x for x in texts if x[1]]))
+        out.append(Block(benchmark.sparkSession, [x for x in texts if x[1]]))
     return out
 
 
@@ -189,10 +208,10 @@ def batch_type(kind: str) -> pa.DataType:
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, least_chars: int = 32, block_chars: int = 4_000_000) -> DataFrame:
     """The rows of docs, all columns, whose text holds no benchmark item; no row is moved."""
-    for shared in item_blocks(benchmark, block_chars):
+    for block in item_blocks(benchmark, block_chars):
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, rate, least_chars)
+        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            matcher = block.matcher(rate, least_chars)
             for batch in batches:
                 keep = [next(matcher.matches(normal(text.as_py())), None) is None for text in batch["_text"]]
                 yield pa.record_batch([batch["_row"].filter(pa.array(keep, pa.bool_()))], ["_row"])

@@ -112,6 +112,42 @@ def test_op7_finds_whole_items(spark):
     assert want and {k for k, d in got.items() if d == 0} == want
 
 
+def test_op7_against_distances_to_the_whole_text(spark):
+    """Every item against every shorter document by the plain scan over the whole text, without pieces."""
+    bench = [(r.item_id, decontaminate.normal(r.text)) for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()]
+    docs = [(r.doc_id, decontaminate.normal(r.text)) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    docs = {d: t for d, t in docs if len(t) < 3000}
+    items = [(i, t, int(len(t) * 0.08), decontaminate.Myers(t)) for i, t in bench]
+    hits = ((d, i, m.best(t, budget)) for d, t in docs.items() for i, _, budget, m in items)
+    want = {(d, i): (hit[0], hit[1]) for d, i, hit in hits if hit}
+    got = {(r.doc_id, r.item_id): (r.distance, r.match_end) for r in queries.op7_decontamination(spark, DATA).collect() if r.doc_id in docs}
+    assert got == want and any(distance for distance, _ in want.values()) == any(r[0] for r in got.values())
+
+
+def test_quality_and_language_stages_row_by_row(spark, stages):
+    """What the two filters keep, from scores that are taken of every text alone."""
+    from test_classifiers import plain_attention, plain_passages
+
+    from roadflux.llm import langid, quality
+    from roadflux.llm.common import learns
+
+    docs = stages["documents"]
+    model = quality.train(docs, spark.read.parquet(f"{DATA}/labels.parquet"), learns("doc_id", 5) != 0)
+    good = {r.doc_id for r in docs.collect() if plain_attention(model, plain_passages(r.text)) >= 0.3}
+    assert {r.doc_id for r in stages["quality"].collect()} == good
+    known = stages["quality"].where("lang is not null and text is not null")
+    counts = langid.counted(known)
+    trial, full = langid.model_of(counts, "n_trial"), langid.model_of(counts, "n")
+    ceilings = langid.ceilings_of(langid.trials(known.where(langid.trial_fold()), trial), full.langs, 8.0, 12.0)
+    kept = set()
+    for r in stages["quality"].collect():
+        entropy, lengths = langid._entropies(full, [r.text])
+        best = entropy[0].argmin()
+        if lengths[0] and entropy[0, best] <= ceilings[best, (langid.LENGTHS < lengths[0]).sum()]:
+            kept.add(r.doc_id)
+    assert {r.doc_id for r in stages["language"].collect()} == kept
+
+
 def test_op8_and_op10_against_brute_force(spark):
     from test_embeddings import brute as vectors
     from test_minhash import brute as texts
