@@ -3,7 +3,9 @@
 Pairs are distinct over the whole table and solved once per (graph, origin).
 While the graph is within ``max_edges`` (counted first) its adjacency goes to the
 executors and each origin is one Dijkstra run; beyond that, distances are
-relaxed in joins, so nothing is broadcast.
+relaxed in joins, so nothing is broadcast.  Both order paths by length, then by
+number of edges, then by the lower predecessor, so they find the same paths; as every
+edge adds to (length, edges), edges of no length make no cycle of predecessors.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadflux.storage import materialize
+from roadflux.storage import materialize, release
 
 MAX_EDGES = 2_000_000
 PATH = "graph string, u bigint, v bigint, path array<bigint>"
@@ -45,20 +47,20 @@ class Roads:
 
 
 def dijkstra(roads: Roads, origin: int, goals: set[int]) -> dict[int, list[int]]:
-    """Node paths to the reachable goals; among equal lengths the lower predecessor wins."""
-    best, before, done = {origin: 0.0}, {origin: -1}, set()
-    queue, missing = [(0.0, origin)], set(goals)
+    """Node paths to the reachable goals; among equal lengths fewer edges, then the lower predecessor."""
+    best, before, done = {origin: (0.0, 0)}, {origin: -1}, set()
+    queue, missing = [(0.0, 0, origin)], set(goals)
     while queue and missing:
-        far, node = heapq.heappop(queue)
+        far, hops, node = heapq.heappop(queue)
         if node in done:
             continue
         done.add(node)
         missing.discard(node)
         for to, length in roads.leaving(node):
-            reach = far + length
-            if to not in done and (reach < best.get(to, float("inf")) or (reach == best[to] and node < before[to])):
+            reach = far + length, hops + 1
+            if to not in done and (to not in best or (reach, node) < (best[to], before[to])):
                 best[to], before[to] = reach, node
-                heapq.heappush(queue, (reach, to))
+                heapq.heappush(queue, (*reach, to))
     out = {}
     for goal in goals & done:
         path = [goal]
@@ -90,20 +92,31 @@ def shortest_paths(pairs: DataFrame, edges: DataFrame, max_edges: int = MAX_EDGE
 
 
 def relaxed_paths(wanted: DataFrame, roads: DataFrame, rounds: int = 100_000) -> DataFrame:
-    """The same by relaxing distances from all origins at once, one join a round."""
+    """The same by relaxing distances from all origins at once, one join a round.
+
+    Nothing is followed beyond the farthest goal of an origin once all its goals are
+    reached.  A search that ``rounds`` do not end raises; there are no partial answers.
+    """
+    label = ["far", "hops", "before"]
     steps = roads.select("graph", F.col("u").alias("at"), F.col("v").alias("to"), "length")
-    known = wanted.select("graph", "u").distinct().select("graph", "u", F.col("u").alias("at"), F.lit(0.0).alias("far"), F.lit(-1).cast("bigint").alias("before"))
-    known = materialize(known)
-    front = known
+    start = wanted.select("graph", "u").distinct()
+    known = materialize(start.select("graph", "u", F.col("u").alias("at"), F.lit(0.0).alias("far"), F.lit(0).alias("hops"), F.lit(-1).cast("bigint").alias("before")))
+    front, waste = known, []
     for _ in range(rounds):
-        reach = front.join(steps, ["graph", "at"]).select("graph", "u", F.col("to").alias("at"), (F.col("far") + F.col("length")).alias("far"), F.col("at").alias("before"))
-        best = reach.unionByName(known).groupBy("graph", "u", "at").agg(F.min(F.struct("far", "before")).alias("b"))
-        best = best.select("graph", "u", "at", "b.far", "b.before")
-        best = materialize(best)
-        front = materialize(best.join(known, ["graph", "u", "at", "far", "before"], "left_anti"))
-        known = best
+        reach = front.join(steps, ["graph", "at"]).select("graph", "u", F.col("to").alias("at"), (F.col("far") + F.col("length")).alias("far"), (F.col("hops") + 1).alias("hops"), F.col("at").alias("before"))
+        best = reach.unionByName(known).groupBy("graph", "u", "at").agg(F.min(F.struct(*label)).alias("b"))
+        best = materialize(best.select("graph", "u", "at", *[f"b.{x}" for x in label]))
+        ends = wanted.join(best.select("graph", "u", F.col("at").alias("v"), "far"), ["graph", "u", "v"], "left")
+        limit = ends.groupBy("graph", "u").agg(F.when(F.count("*") == F.count("far"), F.max("far")).alias("limit"))
+        moved = best.join(known, ["graph", "u", "at", *label], "left_anti").join(limit, ["graph", "u"])
+        front = materialize(moved.where("limit is null or far <= limit").drop("limit"))
+        for old in waste:
+            release(old)
+        waste, known = [known, front], best
         if front.isEmpty():
             break
+    else:
+        raise RuntimeError("shortest paths did not settle")
     reached = wanted.join(known.select("graph", "u", F.col("at").alias("v"), F.col("before").alias("_b")), ["graph", "u", "v"])
     walk = reached.select("graph", "u", "v", F.array("v").alias("path"), F.col("_b").alias("at"))
     done = None
@@ -113,8 +126,8 @@ def relaxed_paths(wanted: DataFrame, roads: DataFrame, rounds: int = 100_000) ->
         walk = walk.where("at != -1").join(known.select("graph", "u", "at", "before"), ["graph", "u", "at"])
         walk = materialize(walk.select("graph", "u", "v", F.concat(F.array("at"), "path").alias("path"), F.col("before").alias("at")))
         if walk.isEmpty():
-            break
-    return done
+            return done
+    raise RuntimeError("paths could not be walked back")
 
 
 def path_edges(paths: DataFrame, edges: DataFrame) -> DataFrame:

@@ -49,6 +49,20 @@ def test_paths_and_their_join_form(spark):
             assert sum(best[a, b] for a, b in zip(path, path[1:], strict=False)) == pytest.approx(want[u, v])
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_both_forms_find_the_same_paths(spark, seed):
+    """Edges of no length, equal lengths and unreachable goals: path by path the same."""
+    rnd = random.Random(seed)
+    rows = [(rnd.randrange(10), rnd.randrange(12), 0, rnd.choice([0.0, None, 1.0, 2.0]), None, None, None, None) for _ in range(26)]
+    rows += [(9, 1, 0, 5.0, None, None, None, None), (9, 2, 0, 5.0, None, None, None, None), (1, 2, 0, None, None, None, None, None), (2, 1, 0, None, None, None, None, None)]
+    edges = graph(spark, rows)
+    pairs = spark.createDataFrame([("drive", u, v) for u in range(10) for v in range(13) if rnd.random() < 0.6], "graph string, u bigint, v bigint")
+    one, other = ({(r.u, r.v): r.path for r in paths.shortest_paths(pairs, edges, max_edges=limit).collect()} for limit in (1000, 1))
+    assert one == other and len(one) > 20
+    with pytest.raises(RuntimeError):
+        paths.relaxed_paths(pairs, paths.usable(edges), rounds=1)
+
+
 def test_parallel_edges_and_missing_key_zero(spark):
     edges = graph(spark, [(1, 2, 0, 100.0, 10.0, None, None, None), (1, 2, 1, 50.0, None, None, None, None), (2, 3, 1, 10.0, 1.0, None, None, None)])
     pairs = spark.createDataFrame([("drive", 1, 2), ("drive", 1, 3), ("drive", 3, 1), ("drive", 2, 2)], "graph string, u bigint, v bigint")
