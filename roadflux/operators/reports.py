@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadflux.functions.bins import POLLUTANTS
+from roadflux.operators import ranks
 
 NAMES = {0: "No Motorizado", 21: "Carro", 42: "Bus"}
 
@@ -52,14 +53,16 @@ def correction_share(routes: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, column: str, percentiles: list[float]) -> DataFrame:
     """One row: count, mean, std (n-1), min, interpolated percentiles (p25, ...), max."""
-    p = F.percentile(column, F.array(*[F.lit(x) for x in percentiles])).alias("_p")
-    out = df.agg(F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("min"), p, F.max(column).alias("max"))
-    return out.withColumns({f"p{round(x * 100)}": F.col("_p")[i] for i, x in enumerate(percentiles)}).drop("_p")
+    out = df.agg(F.count(column).alias("count"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("min"), F.max(column).alias("max"))
+    out = out.join(ranks.percentiles(df, column, percentiles), F.lit(True), "left")  # one row each
+    out = out.withColumns({f"p{round(x * 100)}": F.col("q")[i] for i, x in enumerate(percentiles)})
+    return out.select("count", "mean", "std", "min", *[f"p{round(x * 100)}" for x in percentiles], "max")
 
 
 def corrected_sample(routes: DataFrame, keys: list[str], rows: int = 1000, seed: int = 42) -> DataFrame:
-    """At most ``rows`` corrected rows, chosen by a seeded hash of their keys: the same rows every time."""
-    chosen = routes.where("corrected").withColumn("_h", F.xxhash64(*keys, F.lit(seed)))
+    """At most ``rows`` corrected rows, chosen by the MD5 of the seed and their keys as text: the same rows every time, on any engine."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("")) for k in keys])
+    chosen = routes.where("corrected").withColumn("_h", F.md5(text))
     return chosen.orderBy("_h", *keys).limit(rows).drop("_h")
 
 
@@ -113,9 +116,9 @@ def speed_curve(emitted: DataFrame, pollutant: str = "CO2_Equiv") -> DataFrame:
 
 
 def speed_by_mode(routes: DataFrame) -> DataFrame:
-    p = F.percentile("speed_kmh", F.array(F.lit(0.5), F.lit(0.75))).alias("_p")
-    out = routes.groupBy("mode").agg(F.count("speed_kmh").alias("segments"), F.avg("speed_kmh").alias("mean"), F.stddev_samp("speed_kmh").alias("std"), F.min("speed_kmh").alias("min"), p, F.max("speed_kmh").alias("max"))
-    out = out.withColumns({"median": F.col("_p")[0], "p75": F.col("_p")[1]}).drop("_p")
+    out = routes.groupBy("mode").agg(F.count("speed_kmh").alias("segments"), F.avg("speed_kmh").alias("mean"), F.stddev_samp("speed_kmh").alias("std"), F.min("speed_kmh").alias("min"), F.max("speed_kmh").alias("max"))
+    told = ranks.percentiles(routes, "speed_kmh", [0.5, 0.75], ["mode"]).select(F.col("mode").alias("_mode"), F.col("q")[0].alias("median"), F.col("q")[1].alias("p75"))
+    out = out.join(F.broadcast(told), F.col("mode").eqNullSafe(F.col("_mode")), "left")  # one row a mode
     return out.select("mode", "segments", *[F.bround(c, 2).alias(c) for c in ("mean", "std", "min", "median", "p75", "max")])
 
 
@@ -124,11 +127,11 @@ def box_stats(routes: DataFrame) -> DataFrame:
 
     Quartiles are few rows and joined back by mode, so the second pass is one aggregation too.
     """
-    q = routes.where("mode is not null").groupBy("mode").agg(F.percentile("speed_kmh", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
+    q = ranks.percentiles(routes.where("mode is not null"), "speed_kmh", [0.25, 0.5, 0.75], ["mode"])
     q = q.select("mode", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     low, high = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")), F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("speed_kmh").between(low, high)
-    rows = routes.select("mode", "speed_kmh").join(q, "mode")
+    rows = routes.select("mode", "speed_kmh").join(F.broadcast(q), "mode")
     return rows.groupBy("mode", "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("speed_kmh"))).alias("whisker_low"), F.max(F.when(inside, F.col("speed_kmh"))).alias("whisker_high"),
         F.count_if(~inside).alias("fliers"), F.max("speed_kmh").alias("max"),
@@ -146,3 +149,10 @@ def stage_counts(raw: DataFrame, thinned: DataFrame, filtered: DataFrame, dated:
     out = raw.agg(F.count("*").alias("raw")).crossJoin(thinned.agg(F.count("*").alias("thinned"))).crossJoin(filtered.agg(F.count("*").alias("filtered")))
     out = out.crossJoin(dated.agg(F.count("*").alias("kept"), F.min("date").alias("first_day"), F.max("date").alias("last_day")))  # one row each
     return out.withColumn("noise_pct", _percent(F.col("raw") - F.col("thinned"), F.col("raw")))
+
+
+def losses(routes: DataFrame) -> DataFrame:
+    """One row: user-days, those with a leg that found no route, moving rows and lost ones among them."""
+    lost = (F.col("trip") > 0) & F.col("highway").eqNullSafe("routing_error")
+    days = routes.groupBy("caid", F.to_date("local_timestamp").alias("_day")).agg(F.count_if(F.col("trip") > 0).alias("moving"), F.count_if(lost).alias("lost"))
+    return days.agg(F.count("*").alias("user_days"), F.count_if(F.col("lost") > 0).alias("user_days_with_losses"), F.sum("moving").alias("moving"), F.sum("lost").alias("lost"))

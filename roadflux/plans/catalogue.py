@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,10 +11,10 @@ from pyspark.sql import functions as F
 from roadflux.functions import clock
 from roadflux.functions.bins import POLLUTANTS
 from roadflux.functions.geo import with_utm
-from roadflux.operators import candidates, emissions, flatten, modes, paths, prep, proximity, reports, routing, trips
+from roadflux.operators import candidates, emissions, flatten, metro, modes, paths, prep, proximity, reports, routing, trips
 from roadflux.sources import fixtures as fx
-from roadflux.sources import sinks
-from roadflux.storage import materialize
+from roadflux.sources import readers, sinks
+from roadflux.storage import drop_folder, materialize, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,13 +29,13 @@ def r6(*names: str) -> list[Column]:
     return [F.round(F.col(f"`{n}`"), 6).alias(n) for n in names]
 
 
-def nudged(*names: str) -> list[Column]:
-    """Rounded to six digits after a small nudge.
+def exact6(*names: str) -> list[Column]:
+    """Rounded to six digits as decimals.
 
-    Products of short decimals often end in an exact 5 at the seventh digit,
-    where engines round differently; the nudge moves them off that edge.
+    Products of short decimals often end in an exact 5 at the seventh digit, where
+    engines that round the binary value differ; as decimals they round alike.
     """
-    return [F.round(F.col(f"`{n}`") + 1.234e-8, 6).alias(n) for n in names]
+    return [F.round(F.col(f"`{n}`").cast("decimal(28,10)"), 6).cast("double").alias(n) for n in names]
 
 
 def micro(ts: str, name: str) -> Column:
@@ -282,7 +283,7 @@ def rates_imputation_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def emission_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return emitted(spark, sf_dir).select(*_key("fecha_kepler"), *nudged("distance_km_calc", *[f"Total_{p}_g" for p in POLLUTANTS]))
+    return emitted(spark, sf_dir).select(*_key("fecha_kepler"), *exact6("distance_km_calc", *[f"Total_{p}_g" for p in POLLUTANTS]))
 
 
 @query
@@ -324,7 +325,14 @@ def corrected_distance_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def corrected_sample_1000(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.corrected_sample(fx.segments(spark, sf_dir), fx.ORDER)
+    rows = fx.segments(spark, sf_dir)
+    keys = {"k_quantity": F.round("l_quantity").cast("bigint"), "k_cents": F.round(F.col("l_extendedprice") * 100).cast("bigint"), "k_day": F.date_format("l_shipdate", "yyyy-MM-dd")}
+    return reports.corrected_sample(rows.withColumns(keys), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", *keys]).select(*_key("caid", "trip", "mode"))
+
+
+@query
+def routing_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.losses(fx.segments(spark, sf_dir))
 
 
 @query
@@ -389,7 +397,7 @@ def as_published(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.select(*[nudged(c)[0] if kind == "double" else F.col(f"`{c}`") for c, kind in df.dtypes])
+    return df.select(*[exact6(c)[0] if kind == "double" else F.col(f"`{c}`") for c, kind in df.dtypes])
 
 
 @query
@@ -419,3 +427,114 @@ def kepler_light(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def kepler_superlight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(sinks.super_light(as_published(spark, sf_dir)))
+
+
+# --- files -----------------------------------------------------------------
+
+
+def through_files(spark: SparkSession, write: Callable[[str], None], read: Callable[[str], DataFrame]) -> DataFrame:
+    """What ``read`` makes of the files that ``write`` leaves in a new shared folder."""
+    folder = f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+    write(folder)
+    out = materialize(read(folder))
+    drop_folder(spark, folder)
+    return out
+
+
+def wkt_ends(df: DataFrame, *more: str) -> DataFrame:
+    """Ends of the lines' segments, six digits."""
+    parts = df.select("line_id", *more).join(readers.line_segments(df.select("line_id", "geometry")), "line_id")
+    return parts.select(*more, *r6("lon1", "lat1", "lon2", "lat2"))
+
+
+def drawn_edges(spark: SparkSession) -> DataFrame:
+    """(u, v, lon1, lat1, lon2, lat2) of the drive graph."""
+    place, edges = fx.lattice_nodes(spark).where("graph = 'drive'"), fx.lattice_edges(spark).where("graph = 'drive'")
+    out = edges.select("u", "v").join(place.select(F.col("node").alias("u"), F.col("lon").alias("lon1"), F.col("lat").alias("lat1")), "u")
+    return out.join(place.select(F.col("node").alias("v"), F.col("lon").alias("lon2"), F.col("lat").alias("lat2")), "v")
+
+
+@query
+def pings_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.read_pings(spark, f"{sf_dir}/events.parquet").select("event_id", "ping_seq", "user_id", *r6("value"))
+
+
+@query
+def rates_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = through_files(spark, lambda path: sinks.write_parquet(fx.rates(spark), path), lambda path: readers.read_rates(spark, path))
+    return back.select(*emissions.KEYS, *r6(*POLLUTANTS))
+
+
+@query
+def routes_through_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final table written and read again, wanted columns only."""
+    names = [*fx.ORDER, "caid", "trip", "fecha_kepler", "Speed [km/h]", "distance_m", "highway"]
+    back = through_files(spark, lambda path: sinks.write_parquet(as_published(spark, sf_dir), path), lambda path: readers.read_parquet(spark, path, names))
+    return back.select(*_key("caid", "trip", "fecha_kepler"), *exact6("Speed [km/h]", "distance_m"), "highway")
+
+
+@query
+def kepler_csv_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sinks.kepler(as_published(spark, sf_dir))
+    back = through_files(spark, lambda path: sinks.write_csv(rows, path), lambda path: spark.read.schema(rows.schema).option("header", True).csv(path))
+    return _rounded(back)
+
+
+@query
+def kepler_geojson_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = "type string, properties struct<caid: string, trip: int, highway: string, start_node: string, end_node: string, distance_m: double, Total_CO2_g: double>, geometry struct<type: string, coordinates: array<double>>"
+    back = through_files(spark, lambda path: sinks.write_geojson(as_published(spark, sf_dir), path), lambda path: spark.read.schema(kind).json(path))
+    back = back.select("type", F.col("geometry.type").alias("shape"), F.col("geometry.coordinates")[0].alias("lon"), F.col("geometry.coordinates")[1].alias("lat"), "properties.*")
+    return back.select("type", "shape", "lon", "lat", "caid", "trip", "highway", "start_node", "end_node", *exact6("distance_m", "Total_CO2_g"))
+
+
+@query
+def geojson_lines_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collections of lines, some of them multi-lines, to WKT; u and v come back by the order of the ends."""
+    edges = drawn_edges(spark)
+    line = F.array(F.array("lon1", "lat1"), F.array("lon2", "lat2"))
+    shape = F.when(F.col("u") % 2 == 0, F.concat(F.lit('{"type":"LineString","coordinates":'), F.to_json(line), F.lit("}")))
+    shape = shape.otherwise(F.concat(F.lit('{"type":"MultiLineString","coordinates":'), F.to_json(F.array(line)), F.lit("}")))
+    each = edges.groupBy("u").agg(F.concat_ws(",", F.collect_list(F.concat(F.lit('{"type":"Feature","properties":{},"geometry":'), shape, F.lit("}")))).alias("f"))
+    files = each.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), "f", F.lit("]}")).alias("value"))
+    back = through_files(spark, lambda path: files.write.option("maxRecordsPerFile", 1).text(path), lambda path: wkt_ends(readers.read_geojson_lines(spark, path)))
+    return edges.select("u", "v", *r6("lon1", "lat1", "lon2", "lat2")).join(back, ["lon1", "lat1", "lon2", "lat2"]).select("u", "v", "lon1", "lat1", "lon2", "lat2")
+
+
+@query
+def metro_table_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three layouts of a metro table, each through a CSV file."""
+    points = fx.lattice_nodes(spark).where("graph = 'drive'").select("lat", "lon")
+    text = F.concat(F.lit("LINESTRING ("), F.concat_ws(" ", F.col("lon1").cast("string"), F.col("lat1").cast("string")), F.lit(", "), F.concat_ws(" ", F.col("lon2").cast("string"), F.col("lat2").cast("string")), F.lit(")"))
+    lines = drawn_edges(spark).select(text.alias("geometry"))
+    tables = {"points": points, "geometry": lines, "WKT": lines.withColumnRenamed("geometry", "WKT")}
+    out = [through_files(spark, lambda path, t=t: sinks.write_csv(t, path), lambda path, n=n: wkt_ends(readers.read_metro(spark, path)).withColumn("layout", F.lit(n))) for n, t in tables.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query
+def walk_graph_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.with_walk_fallback(fx.lattice_edges(spark).where("graph = 'drive'")).select("graph", "u", "v", *r6("length"))
+
+
+@query
+def projected_graph_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Built and kept at the first call, only read at the second."""
+
+    def read(path: str) -> DataFrame:
+        def never() -> DataFrame:
+            raise RuntimeError("the table is there already")
+
+        return readers.cached_table(spark, path, never)
+
+    back = through_files(spark, lambda path: readers.cached_table(spark, path, lambda: with_utm(fx.lattice_nodes(spark), "lat", "lon", "x", "y")), read)
+    return back.select("graph", "node", *[F.round(c, 3).alias(c) for c in ("x", "y")])
+
+
+@query
+def metro_course(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spots = with_utm(fx.lattice_nodes(spark).where("graph = 'drive'"), "lat", "lon", "x", "y")
+    far = spots.select(F.col("node").alias("to"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    trips_ = spots.select(F.col("node").alias("trip_id"), F.col("x").alias("x1"), F.col("y").alias("y1"), ((F.col("node") * 37 + 11) % 264).alias("to")).join(far, "to").drop("to")
+    out = metro.metro_course(trips_, proximity.planar_segments(fx.lines(spark, fx.METRO_LINES)), 5)
+    return out.select("trip_id", "n", *[F.round(c, 3).alias(c) for c in ("x", "y")])

@@ -174,8 +174,8 @@ def r6(*names: str) -> str:
 
 
 def n6(expression: str, name: str) -> str:
-    """Rounded after a small nudge, as the catalogue's ``nudged``."""
-    return f'round({expression} + 1.234e-8, 6) AS "{name}"'
+    """Rounded as a decimal, as the catalogue's ``exact6``."""
+    return f'CAST(round(CAST({expression} AS DECIMAL(28, 10)), 6) AS DOUBLE) AS "{name}"'
 
 
 def w(ctes: str, select: str, recursive: bool = False) -> str:
@@ -270,6 +270,42 @@ ORACLES = {
     "kepler_light": w(", ".join([EMIT, PUB]), f"SELECT {LIGHT} FROM pub"),
     "kepler_superlight": w(", ".join([EMIT, PUB]), f"SELECT {LIGHT}, highway FROM pub WHERE highway IS DISTINCT FROM 'routing_error'"),
 }
+_EDGE_ENDS = "links JOIN nodes a ON a.graph = 'drive' AND a.node = u JOIN nodes b ON b.graph = 'drive' AND b.node = v"
+_PIECES = line_table("metro", METRO_LINES)
+_T = "greatest(0, least(1, coalesce((({x} - x1) * (x2 - x1) + ({y} - y1) * (y2 - y1)) / nullif((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1), 0), 0)))"
+_METRO = ", ".join(
+    [
+        LATTICE,
+        _PIECES,
+        utm("spots", "(SELECT * FROM nodes WHERE graph = 'drive')"),
+        """pieces AS (SELECT *, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) AS len FROM (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY lat1) AS seq FROM metro)),
+    run AS (SELECT *, coalesce(sum(len) OVER (PARTITION BY line_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone FROM pieces),
+    trip AS (SELECT a.node AS trip_id, a.x AS ax, a.y AS ay, b.x AS ex, b.y AS ey FROM spots a JOIN spots b ON b.node = (a.node * 37 + 11) % 264),"""
+        + f"""
+    p AS (SELECT *, {_T.format(x='ax', y='ay')} AS s, {_T.format(x='ex', y='ey')} AS t FROM trip, run),
+    q AS (SELECT *, sqrt(pow(x1 + s * (x2 - x1) - ax, 2) + pow(y1 + s * (y2 - y1) - ay, 2)) AS d, sqrt(pow(x1 + t * (x2 - x1) - ex, 2) + pow(y1 + t * (y2 - y1) - ey, 2)) AS e FROM p),
+    beg AS (SELECT trip_id, line_id, gone + s * len AS lo FROM q QUALIFY row_number() OVER (PARTITION BY trip_id ORDER BY d, line_id, seq) = 1),
+    fin AS (SELECT beg.*, gone + t * len AS hi FROM q JOIN beg USING (trip_id, line_id) QUALIFY row_number() OVER (PARTITION BY trip_id ORDER BY e, seq) = 1),
+    stop AS (SELECT *, lo + (hi - lo) * n / 4 AS far FROM fin, (SELECT range AS n FROM range(5)))""",
+    ]
+)
+ORACLES |= {
+    "corrected_sample_1000": w(SEG, f"""SELECT {KEY}, caid, trip, mode FROM segs WHERE corrected
+        ORDER BY md5('42|' || l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey || '|' || CAST(round(l_quantity) AS BIGINT) || '|' || CAST(round(l_extendedprice * 100) AS BIGINT) || '|' || strftime(l_shipdate, '%Y-%m-%d')) LIMIT 1000"""),
+    "routing_losses": w(SEG, """SELECT count(*) AS user_days, count(*) FILTER (lost > 0) AS user_days_with_losses, CAST(sum(moving) AS BIGINT) AS moving, CAST(sum(lost) AS BIGINT) AS lost
+        FROM (SELECT caid, CAST(lt AS DATE) AS day, count(*) FILTER (trip > 0) AS moving, count(*) FILTER (trip > 0 AND highway = 'routing_error') AS lost FROM segs GROUP BY ALL)"""),
+    "pings_source": "SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS ping_seq, user_id, round(value, 6) AS value FROM events",
+    "rates_source": w(RATES, f'SELECT "Day", "Hour", "Road", "Source", "SpeedBin", {r6(*P)} FROM r2'),
+    "routes_through_parquet": w(", ".join([EMIT, PUB]), f'SELECT {KEY}, caid, trip, fecha_kepler, {n6("kmh", "Speed [km/h]")}, {n6("m", "distance_m")}, highway FROM pub'),
+    "kepler_csv_file": w(", ".join([EMIT, PUB]), f"SELECT {', '.join(x for x in KEP.split(', ') if x not in ('start_node', 'end_node'))} FROM pub WHERE geometry IS NOT NULL"),
+    "kepler_geojson_file": w(", ".join([EMIT, PUB]), f"SELECT 'Feature' AS type, 'Point' AS shape, CAST(l_suppkey AS DOUBLE) AS lon, 25e0 AS lat, caid, trip, highway, start_node, end_node, {n6('m', 'distance_m')}, {n6('"Total_CO2_g"', 'Total_CO2_g')} FROM pub WHERE geometry IS NOT NULL"),
+    "geojson_lines_source": w(LATTICE, f"SELECT u, v, round(a.lon, 6) AS lon1, round(a.lat, 6) AS lat1, round(b.lon, 6) AS lon2, round(b.lat, 6) AS lat2 FROM {_EDGE_ENDS}"),
+    "metro_table_source": w(LATTICE, f"""SELECT 'points' AS layout, round(lon, 6) AS lon1, round(lat, 6) AS lat1, round(lon, 6) AS lon2, round(lat, 6) AS lat2 FROM nodes WHERE graph = 'drive'
+        UNION ALL SELECT x, round(a.lon, 6), round(a.lat, 6), round(b.lon, 6), round(b.lat, 6) FROM {_EDGE_ENDS}, (VALUES ('WKT'), ('geometry')) l(x)"""),
+    "walk_graph_fallback": w(LATTICE, "SELECT graph, u, v, round(length, 6) AS length FROM links, (VALUES ('drive'), ('walk')) g(graph)"),
+    "projected_graph_cache": w(", ".join([LATTICE, utm("spots", "nodes")]), "SELECT graph, node, round(x, 3) AS x, round(y, 3) AS y FROM spots"),
+    "metro_course": w(_METRO, "SELECT trip_id, CAST(n AS INTEGER) AS n, round(x1 + CASE WHEN len > 0 THEN (far - gone) / len ELSE 0 END * (x2 - x1), 3) AS x, round(y1 + CASE WHEN len > 0 THEN (far - gone) / len ELSE 0 END * (y2 - y1), 3) AS y FROM stop JOIN run USING (line_id) WHERE far >= gone - 1e-9 AND far <= gone + len + 1e-9 QUALIFY row_number() OVER (PARTITION BY trip_id, n ORDER BY seq) = 1"),
+}
 # names of the places as Spark prints their rounded coordinates
 ORACLES["nearest_line_distance"] = w(
     ", ".join([raw(), THIN, FENCE, PLACES, line_table("bus", BUS_LINES), distance("bus")]),
