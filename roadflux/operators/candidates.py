@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadflux.functions.geo import with_utm
+from roadflux.operators.proximity import reach_of
 from roadflux.sources.readers import line_segments
 from roadflux.storage import materialize
 
@@ -28,47 +29,50 @@ def centroids(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return straight.unionByName(curved)
 
 
-def nearest_edges(points: DataFrame, middles: DataFrame, k: int = 3, cell: float = 400.0, rounds: int = 14) -> DataFrame:
+def nearest_edges(points: DataFrame, middles: DataFrame, k: int = 3, cell: float = 400.0) -> DataFrame:
     """(latitude, longitude, edges array<struct<d2, u, v, key>>): the k nearest edges of every distinct place.
 
     points(latitude, longitude, x, y) are distinct places, middles are of one
     graph.  An edge lies in one grid cell, a place looks into the nine cells
     around it; it is done once its k-th distance is within the looked-at
-    square, else it is asked again with doubled cells.  Ties go to the lower (u, v, key).
+    square, else it is asked again with doubled cells, up to cells larger than the whole map.  Of the edges met
+    only the k nearest are ever gathered: they are ranked, partly before the exchange, not collected.
+    Ties go to the lower (u, v, key).
     """
-    left, middles, out = materialize(points), materialize(middles), None
-    total = middles.count()
-    for turn in range(rounds):
-        size = cell * 2**turn
+    left, middles, out = materialize(points.where("x is not null and y is not null and not isnan(x) and not isnan(y)")), materialize(middles), None
+    total, place = middles.count(), ["latitude", "longitude"]
+    size, reach = cell, reach_of((left, ["x"], ["y"]), (middles, ["cx"], ["cy"]))
+    nth = F.row_number().over(Window.partitionBy(*place).orderBy("d2", "u", "v", "key"))
+    while True:
         grid = middles.withColumns({"gx": F.floor(F.col("cx") / size), "gy": F.floor(F.col("cy") / size)})
         around = F.sequence(F.lit(-1), F.lit(1))
         seen = left.withColumn("ox", F.explode(around)).withColumn("oy", F.explode(around))
         seen = seen.withColumns({"gx": F.floor(F.col("x") / size) + F.col("ox"), "gy": F.floor(F.col("y") / size) + F.col("oy")})
         met = seen.join(grid, ["gx", "gy"])
-        d2 = (F.col("x") - F.col("cx")) ** 2 + (F.col("y") - F.col("cy")) ** 2
-        met = met.withColumn("d2", d2)
+        met = met.withColumn("d2", (F.col("x") - F.col("cx")) ** 2 + (F.col("y") - F.col("cy")) ** 2)
+        first = met.select(*place, "d2", "u", "v", "key").withColumn("_nth", nth).where(F.col("_nth") <= k)
         # the square reaches at least ``size`` beyond the place on every side
-        kept = met.groupBy("latitude", "longitude").agg(F.slice(F.array_sort(F.collect_list(F.struct("d2", "u", "v", "key"))), 1, k).alias("edges"))
+        kept = first.groupBy(*place).agg(F.array_sort(F.collect_list(F.struct("d2", "u", "v", "key"))).alias("edges"))
         enough = (F.size("edges") >= min(k, total)) & (F.element_at("edges", -1)["d2"] <= size * size)
-        done = materialize(kept.where(enough) if turn < rounds - 1 else kept)
+        done = materialize(kept.where(enough))
         out = done if out is None else out.unionByName(done)
-        left = materialize(left.join(done.select("latitude", "longitude"), ["latitude", "longitude"], "left_anti"))
-        if left.isEmpty():
-            break
-    return out
+        left = materialize(left.join(done.select(*place), place, "left_anti"))
+        if size > reach or left.isEmpty():
+            return out
+        size *= 2
 
 
-def candidate_nodes(pings: DataFrame, edges: DataFrame, nodes: DataFrame, graph: str, k: int = 3) -> DataFrame:
-    """(latitude, longitude, nodes_<graph>): end nodes of the k nearest edges, ascending node ids."""
+def candidate_nodes(pings: DataFrame, middles: DataFrame, graph: str, k: int = 3) -> DataFrame:
+    """(latitude, longitude, nodes_<graph>): end nodes of the k nearest edges, ascending node ids; middles as by ``centroids``."""
     places = with_utm(pings.select("latitude", "longitude").distinct(), "latitude", "longitude", "x", "y")
-    own = centroids(edges.where(F.col("graph") == graph), nodes.where(F.col("graph") == graph))
-    found = nearest_edges(places, own, k)
+    found = nearest_edges(places, middles.where(F.col("graph") == graph).drop("graph"), k)
     both = F.flatten(F.transform("edges", lambda e: F.array(e.u, e.v)))
     return found.select("latitude", "longitude", F.array_sort(F.array_distinct(both)).alias(f"nodes_{graph}"))
 
 
-def with_candidates(pings: DataFrame, edges: DataFrame, nodes: DataFrame, k: int = 3) -> DataFrame:
-    """pings with nodes_drive and nodes_walk."""
+def with_candidates(pings: DataFrame, edges: DataFrame, nodes: DataFrame, k: int = 3, middles: DataFrame | None = None) -> DataFrame:
+    """pings with nodes_drive and nodes_walk; ``middles``: the projected edges, if they are kept somewhere."""
+    middles = centroids(edges, nodes) if middles is None else middles
     for graph in ("drive", "walk"):
-        pings = pings.join(candidate_nodes(pings, edges, nodes, graph, k), ["latitude", "longitude"], "left")
+        pings = pings.join(candidate_nodes(pings, middles, graph, k), ["latitude", "longitude"], "left")
     return pings

@@ -9,7 +9,7 @@ from roadflux.storage import materialize
 
 
 def percentiles(df: DataFrame, column: str, shares: list[float], by: list[str] | None = None) -> DataFrame:
-    """(by..., q array<double>): interpolated percentiles of ``column``, one row a group; nulls are left out.
+    """(by..., q array<double>): interpolated percentiles of ``column``, one row a group; nulls are left out, and so is a group of nulls.
 
     Equal values are counted first, so a value that a third of all rows have is one row.
     Ranges of distinct values are then numbered by themselves and on from the ranges before, as ordinals are,
@@ -32,4 +32,4 @@ def percentiles(df: DataFrame, column: str, shares: list[float], by: list[str] |
     # the lower value plus the part of the way to the upper one
     both = met.groupBy(*by, "_share").agg(F.min("_v").alias("_a"), F.max("_v").alias("_b"), F.max_by("_w", F.struct("_v", "_rank")).alias("_w"))
     values = both.select(*by, "_share", F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_w")).alias("_q"))
-    return values.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_share", "_q"))).alias("_s")).select(*by, F.transform("_s", lambda x: x["_q"]).alias("q"))
+    return values.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_share", "_q"))).alias("_s")).select(*by, F.transform("_s", lambda x: x["_q"]).alias("q")).where("size(q) > 0")

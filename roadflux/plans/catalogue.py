@@ -175,7 +175,7 @@ def fixed_steps(spark: SparkSession) -> DataFrame:
 
 @query
 def knn_edge_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = candidates.candidate_nodes(fenced(spark, sf_dir), fx.lattice_edges(spark), fx.lattice_nodes(spark), "drive")
+    found = candidates.candidate_nodes(fenced(spark, sf_dir), candidates.centroids(fx.lattice_edges(spark), fx.lattice_nodes(spark)), "drive")
     return found.select(*[F.round(c, 4).alias(c) for c in ("latitude", "longitude")], F.array_join(F.transform("nodes_drive", lambda n: n.cast("string")), ",").alias("nodes"))
 
 

@@ -19,11 +19,11 @@ from roadflux.storage import materialize
 ROUTE_KEYS = ["caid", "date", "row", "i"]
 
 
-def routes(pings: DataFrame, subway: DataFrame, bus: DataFrame, edges: DataFrame, nodes: DataFrame, users: int | None = None) -> DataFrame:
+def routes(pings: DataFrame, subway: DataFrame, bus: DataFrame, edges: DataFrame, nodes: DataFrame, users: int | None = None, middles: DataFrame | None = None) -> DataFrame:
     """Raw pings to route rows, with their order (caid, date, row, i)."""
     steps = trips.assign_trips(prep.prepare(pings, users))
     known = modes.classify(proximity.flag_infrastructure(materialize(steps), subway, bus))
-    return routing.complete_routes(candidates.with_candidates(materialize(known), edges, nodes), edges, nodes)
+    return routing.complete_routes(candidates.with_candidates(materialize(known), edges, nodes, middles=middles), edges, nodes)
 
 
 def emission_table(route_rows: DataFrame, rates: DataFrame) -> DataFrame:
@@ -41,6 +41,7 @@ def all_reports(route_table: DataFrame, final: DataFrame, raw: DataFrame) -> dic
         "mode_share_distance": reports.distance_share(own),
         "highway_top5": reports.record_share(own, "highway", 5),
         "routing_success": reports.routing_success(own),
+        "routing_losses": reports.losses(own),
         "correction_share": reports.correction_share(own),
         "corrected_distance": reports.describe(fixed, "distance_m", [0.25, 0.5, 0.75, 0.9, 0.95]),
         "corrected_modes": reports.record_share(fixed, "mode"),
@@ -60,11 +61,15 @@ def all_reports(route_table: DataFrame, final: DataFrame, raw: DataFrame) -> dic
 
 
 def run(spark: SparkSession, inputs: str, outputs: str, users: int | None = None) -> dict[str, DataFrame]:
-    """Read, compute and write everything; returns the reports."""
+    """Read, compute and write everything; returns the reports.
+
+    The projected road edges are kept in OUTPUTS/projected_edges and read from there by later runs.
+    """
     pings = readers.read_pings(spark, f"{inputs}/pings.parquet")
     nodes, edges = (readers.with_walk_fallback(readers.read_parquet(spark, f"{inputs}/{x}.parquet")) for x in ("nodes", "edges"))
     bus, subway = readers.read_geojson_lines(spark, f"{inputs}/bus.geojson"), readers.read_metro(spark, f"{inputs}/metro.csv")
-    rows = materialize(routes(pings, subway, bus, edges, nodes, users))
+    middles = readers.cached_table(spark, f"{outputs}/projected_edges", lambda: candidates.centroids(edges, nodes))
+    rows = materialize(routes(pings, subway, bus, edges, nodes, users, middles))
     sinks.write_parquet(flatten.route_table(rows), f"{outputs}/routes")
     sinks.write_parquet(emission_table(rows, readers.read_rates(spark, f"{inputs}/rates.parquet")), f"{outputs}/emissions")
     route_table, final = readers.read_parquet(spark, f"{outputs}/routes"), readers.read_parquet(spark, f"{outputs}/emissions")

@@ -81,7 +81,7 @@ def line_segments(lines: DataFrame) -> DataFrame:
     last = F.when(F.size("p") > 1, F.size("p") - 1).otherwise(F.size("p"))
     ends = F.transform(F.sequence(F.lit(1), last), lambda i: F.struct(F.element_at("p", i).alias("a"), F.coalesce(F.try_element_at(F.col("p"), i + 1), F.element_at("p", i)).alias("b")))
     out = each.where(F.size("p") > 0).select("line_id", "part", F.posexplode(ends).alias("seq", "s"))
-    return out.select("line_id", (F.col("part") * 100000 + F.col("seq")).alias("seq"), F.col("s.a.lon").alias("lon1"), F.col("s.a.lat").alias("lat1"), F.col("s.b.lon").alias("lon2"), F.col("s.b.lat").alias("lat2"))
+    return out.select("line_id", (F.col("part") * (1 << 31) + F.col("seq")).alias("seq"), F.col("s.a.lon").alias("lon1"), F.col("s.a.lat").alias("lat1"), F.col("s.b.lon").alias("lon2"), F.col("s.b.lat").alias("lat2"))
 
 
 def with_walk_fallback(table: DataFrame) -> DataFrame:

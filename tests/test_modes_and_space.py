@@ -61,9 +61,9 @@ def test_radius_join_equals_brute_force(spark):
 def test_nearest_line_has_no_distance_limit(spark):
     pts = spark.createDataFrame([(1, 0.0, 10.0), (2, 0.0, 3e6), (3, 5e6, 0.0), (4, None, 0.0)], "id int, x double, y double")
     lines = spark.createDataFrame([(7, 0, 0.0, 0.0, 100.0, 0.0), (8, 0, 0.0, 1000.0, 100.0, 1000.0), (9, 0, 0.0, 1000.0, 100.0, 1000.0)], "line_id int, seq int, x1 double, y1 double, x2 double, y2 double")
-    got = {r.id: (r.line_id, r.distance_m) for r in proximity.nearest_line(pts, lines, "id", rounds=2).collect()}
+    got = {r.id: (r.line_id, r.distance_m) for r in proximity.nearest_line(pts, lines, "id").collect()}
     assert got == {1: (7, 10.0), 2: (8, 3e6 - 1000), 3: (7, 5e6 - 100), 4: (None, None)}
-    assert {r.line_id for r in proximity.nearest_line(pts, lines.limit(0), "id", rounds=1).collect()} == {None}
+    assert {r.line_id for r in proximity.nearest_line(pts, lines.limit(0), "id").collect()} == {None}
     assert proximity.nearest_line(pts.where("id = 2"), lines, "id").first().line_id == 8
 
 
@@ -78,6 +78,38 @@ def test_nearest_edges_equal_brute_force(spark):
     assert got.count() == len(pts)
 
 
+def test_nearest_edges_at_any_distance(spark):
+    """Places far from every edge, and fewer edges than are asked for."""
+    mids = [(i, i + 1, 0, 1000.0 * i, 0.0) for i in range(5)]
+    pts = [(0.0, 0.0, 5.0, 5.0), (1.0, 1.0, 9e6, -7e6), (2.0, 2.0, -3e7, 1e7), (3.0, 3.0, None, 1.0)]
+    frames = spark.createDataFrame(pts, "latitude double, longitude double, x double, y double"), spark.createDataFrame(mids, "u bigint, v bigint, key int, cx double, cy double")
+    got = {r.latitude: [e.u for e in r.edges] for r in candidates.nearest_edges(*frames).collect()}
+    assert got == {0.0: [0, 1, 2], 1.0: [4, 3, 2], 2.0: [0, 1, 2]}
+    assert {r.latitude: len(r.edges) for r in candidates.nearest_edges(frames[0], frames[1].limit(2)).collect()} == {0.0: 2, 1.0: 2, 2.0: 2}
+    assert candidates.nearest_edges(frames[0], frames[1].limit(0)).count() == 0
+
+
+def test_cells_follow_the_course_of_a_long_line(spark):
+    line = spark.createDataFrame([(1, 0, 0.0, 0.0, 100_000.0, 100_000.0)], "line_id int, seq int, x1 double, y1 double, x2 double, y2 double")
+    cells = proximity._cells(line, 100.0).select("cx", "cy").collect()
+    assert len(cells) == len(set(cells)) < 10_000 and {(i, i) for i in range(1000)} <= {tuple(c) for c in cells}
+
+
+def test_percentiles_by_rank(spark):
+    import numpy as np
+
+    from roadflux.operators.ranks import percentiles
+
+    rnd = random.Random(4)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([0.0, 0.0, rnd.gauss(0, 9), None])) for _ in range(900)] + [("one", 5.0), ("none", None)]
+    df, shares = spark.createDataFrame(rows, "g string, v double").repartition(5), [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r.g: r.q for r in percentiles(df, "v", shares, ["g"]).collect()}
+    for g in ("a", "b", None, "one"):
+        assert got[g] == pytest.approx(np.percentile([v for x, v in rows if x == g and v is not None], [100 * x for x in shares]).tolist())
+    assert "none" not in got and percentiles(df.limit(0), "v", shares).count() == 0
+    assert percentiles(df, "v", [0.3]).first().q == pytest.approx([np.percentile([v for _, v in rows if v is not None], 30)])
+
+
 def test_edge_geometry_moves_the_centroid(spark):
     nodes = spark.createDataFrame([("drive", 1, -100.0, 25.0), ("drive", 2, -99.99, 25.0)], "graph string, node bigint, lon double, lat double")
     edge = "graph string, u bigint, v bigint, key int, geometry string"
