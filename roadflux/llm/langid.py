@@ -3,9 +3,11 @@
 Training counts the highest-order character n-grams of every training text:
 each task sorts and counts its own, Spark sums them per (language, n-gram).
 Counts of the lower orders are continuation counts, i.e. numbers of distinct
-left extensions, so they follow from the same table.  The model is a set of
+left extensions, so they follow from the same table, in Spark.  The model is a set of
 sorted 64-bit hash arrays, one per order, with one column of interpolated log
-probabilities a language; lookups go through the leading hash bits.
+probabilities a language; lookups go through the leading hash bits.  No n-gram is
+left out at any size: beyond ``cells`` probabilities the two highest orders are cut into shards,
+each of which scores its own n-grams of all texts in a pass, and the sums add up.
 
 Texts are folded to lower-case letters with their combining marks, everything else being one blank.  A
 character of the basic plane takes 16 bits, so four of them pack into one
@@ -37,13 +39,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+
+from roadflux.storage import release
 
 from .common import checkpointed
 from .vectext import mix
 
 ORDER = 4
 CHUNK = 1 << 19
+CELLS = 1 << 25  # log probabilities of a shard: 128 MB
 LENGTHS = np.array([16, 64, 256, 1024, 1 << 62])  # calibration classes by folded length
 _U = np.uint64
 
@@ -137,31 +142,44 @@ def counted(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, gram bigint, n bigint, n_trial bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("n_trial").alias("n_trial"))
 
 
+def shard_of(grams_: np.ndarray, shards: int) -> np.ndarray:
+    """By the two middle characters of a 4-gram, which are the first two of the 3-gram below it and of its context."""
+    return (((grams_ >> _U(32)) & _U(0xFFFF)) * _U(31) + ((grams_ >> _U(16)) & _U(0xFFFF))) % _U(shards)
+
+
+def shard_column(shards: int) -> Column:
+    """The same in Spark."""
+    part = lambda bits: F.shiftright("gram", bits).bitwiseAND(F.lit(0xFFFF))
+    return F.pmod(part(32) * 31 + part(16), F.lit(shards))
+
+
 class KneserNey:
-    """Interpolated Kneser-Ney probabilities of all languages over one set of sorted hash arrays."""
+    """Interpolated Kneser-Ney probabilities of all languages over one set of sorted hash arrays.
+
+    levels: per language and order the sorted packed m-grams with their counts; cuts: the discounts.
+    Of the two highest orders a model may hold one shard only: all that the
+    probability of a 4-gram needs lies in the 4-gram's own shard or in the two lowest orders.
+    """
 
-    def __init__(self, langs: list[str], tables: dict[str, tuple[np.ndarray, np.ndarray]], order: int = ORDER) -> None:
-        self.langs, self.order = langs, order
+    def __init__(self, langs: list[str], levels: list[list[tuple[np.ndarray, np.ndarray]]], cuts: list[list[float]], alphabet: int, shard: int = 0, shards: int = 1) -> None:
+        self.langs, self.order, self.shard, self.shards = langs, ORDER, shard, shards
         size = len(langs)
-        alphabet = np.unique(np.concatenate([k & _U(0xFFFF) for k, _ in tables.values()])) if tables else np.zeros(0, _U)
-        self.floor = np.full(size, -np.log(len(alphabet) + 1.0))
+        self.floor = np.full(size, -np.log(alphabet + 1.0))
         self.keys: list[np.ndarray] = []
         self.logp: list[np.ndarray] = []
         self.back: list[tuple[np.ndarray, np.ndarray]] = []
         self.heads: list[np.ndarray] = []
-        per_order = [self._orders(*tables[x]) for x in langs]
         lower = None
-        for m in range(1, order + 1):
-            packed = np.unique(np.concatenate([p[m - 1][0] for p in per_order])) if langs else np.zeros(0, _U)
+        for m in range(1, self.order + 1):
+            packed = np.unique(np.concatenate([p[m - 1][0] for p in levels])) if langs else np.zeros(0, _U)
             contexts = np.unique(packed >> _U(16))
             gamma, own = np.ones((len(contexts), size)), []
-            for j, levels in enumerate(per_order):
-                keys, counts = levels[m - 1]
+            for j, level in enumerate(levels):
+                keys, counts = level[m - 1]
                 at = np.searchsorted(contexts, keys >> _U(16))
                 total = np.bincount(at, counts, len(contexts))
                 types = np.bincount(at, minlength=len(contexts))
-                ones, twos = int((counts == 1).sum()), int((counts == 2).sum())
-                cut = ones / (ones + 2 * twos) if ones and twos else 0.5
+                cut = cuts[j][m - 1]
                 with np.errstate(divide="ignore", invalid="ignore"):
                     gamma[:, j] = np.where(total > 0, cut * types / total, 1.0)
                     own.append((keys, np.maximum(counts - cut, 0) / total[at]))
@@ -177,14 +195,6 @@ class KneserNey:
             self._add(packed, logp, contexts, np.log(gamma))
             lower = lambda grams_, m=m: np.exp(self._level(grams_, m))
 
-    def _orders(self, keys: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Counts of every order: real ones at the top, distinct left extensions below it."""
-        levels = [(keys, counts.astype(np.float64))]
-        for m in range(self.order - 1, 0, -1):
-            shorter, n = np.unique(levels[0][0] & _U((1 << 16 * m) - 1), return_counts=True)
-            levels.insert(0, (shorter, n.astype(np.float64)))
-        return levels
-
     @staticmethod
     def _sorted(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         hashes = mix(keys + _U(1))
@@ -229,45 +239,66 @@ class KneserNey:
             out[missing] = weight + self._level(some & _U((1 << 16 * (m - 1)) - 1), m - 1)
         return out
 
-    def totals(self, found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Sums of log probability per text; bounds: offsets of texts in ``found``, none of them empty."""
-        every, back = self.distinct(found)
+    def totals(self, found: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+        """(texts, languages): sums of log probability of the packed n-grams of this shard, by the text that they belong to."""
+        if self.shards > 1:
+            mine = shard_of(found, self.shards) == self.shard
+            found, owner = found[mine], owner[mine]
+        every, back = np.unique(found, return_inverse=True)
         logp = self._level(every, self.order)
-        return np.stack([np.add.reduceat(logp[:, j].astype(np.float64)[back], bounds) for j in range(len(self.langs))], axis=1)
+        return np.stack([np.bincount(owner, logp[:, j].astype(np.float64)[back], texts) for j in range(len(self.langs))], axis=1)
 
-    @staticmethod
-    def distinct(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(found, return_inverse=True)
 
+class Counts:
+    """Counts of all orders as tables, and what is small of them: languages, discounts, alphabet, number of shards.
 
-def train(docs: DataFrame) -> KneserNey:
-    """The model of every n-gram of every training text; it grows with their distinct n-grams times the languages."""
-    return model_of(checkpointed(counted(docs)), "n")
+    The driver never holds more than the model of one shard, about ``cells`` log probabilities.
+    """
 
+    def __init__(self, counts: DataFrame, n: str, cells: int) -> None:
+        top = counts.where(F.col(n) > 0).select("lang", "gram", F.col(n).alias("n"))
+        self.orders = [top]
+        for m in range(ORDER - 1, 0, -1):  # distinct left extensions
+            shorter = self.orders[0].groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 16 * m) - 1)).alias("gram")).agg(F.count("*").alias("n"))
+            self.orders.insert(0, checkpointed(shorter))
+        told = [{r["lang"]: r for r in t.groupBy("lang").agg(F.count("*").alias("all"), F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).collect()} for t in self.orders]
+        self.langs = sorted(told[0])
+        cut = lambda r: r["ones"] / (r["ones"] + 2 * r["twos"]) if r["ones"] and r["twos"] else 0.5
+        self.cuts = [[cut(level[x]) for level in told] for x in self.langs]
+        self.alphabet = self.orders[0].select("gram").distinct().count()
+        rows = sum(r["all"] for level in told[2:] for r in level.values())
+        self.shards = max(1, -(-rows * len(self.langs) // cells))
+
+    def model(self, shard: int = 0) -> KneserNey:
+        levels: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in self.langs]
+        for m, table in enumerate(self.orders, 1):
+            own = table.where(shard_column(self.shards) == shard) if m > 2 and self.shards > 1 else table
+            found = own.toArrow().combine_chunks()
+            lang = found["lang"].combine_chunks().dictionary_encode()
+            keys, n, codes = found["gram"].to_numpy().view(_U), found["n"].to_numpy().astype(np.float64), lang.indices.to_numpy()
+            names = lang.dictionary.to_pylist()
+            for j, x in enumerate(self.langs):
+                at = np.flatnonzero(codes == names.index(x)) if x in names else np.zeros(0, np.int64)
+                at = at[np.argsort(keys[at])]
+                levels[j].append((keys[at], n[at]))
+        return KneserNey(self.langs, levels, self.cuts, self.alphabet, shard, self.shards)
 
-def model_of(counts: DataFrame, n: str) -> KneserNey:
-    table = counts.where(F.col(n) > 0).select("lang", "gram", n).toArrow().combine_chunks()
-    lang = table["lang"].combine_chunks().dictionary_encode()
-    keys, number, codes = table["gram"].to_numpy().view(_U), table[n].to_numpy(), lang.indices.to_numpy()
-    langs = sorted(lang.dictionary.to_pylist())
-    tables = {}
-    for x in langs:
-        at = np.flatnonzero(codes == lang.dictionary.index(x).as_py())
-        at = at[np.argsort(keys[at])]
-        tables[x] = keys[at], number[at]
-    return KneserNey(langs, tables)
 
+def train(docs: DataFrame) -> KneserNey:
+    """The model of every n-gram of every training text, in one piece."""
+    return Counts(checkpointed(counted(docs)), "n", 1 << 62).model()
 
-def _entropies(model: KneserNey, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """(texts, languages) cross-entropies in nats a character and the numbers of characters."""
+
+def _sums(model: KneserNey, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(texts, languages) sums of log probability in the model's shard, and the numbers of characters."""
     size = len(model.langs)
     sums, lengths = np.zeros((len(texts), size)), np.zeros(len(texts), np.int64)
     held: list[tuple[int, np.ndarray]] = []
 
     def flush() -> None:
         if held and size:
-            bounds = np.cumsum([0] + [len(x) for _, x in held[:-1]])
-            np.add.at(sums, [i for i, _ in held], model.totals(np.concatenate([x for _, x in held]), bounds))
+            owner = np.repeat([i for i, _ in held], [len(x) for _, x in held])
+            sums[:] += model.totals(np.concatenate([x for _, x in held]), owner, len(texts))
         held.clear()
 
     waiting = 0
@@ -281,60 +312,79 @@ def _entropies(model: KneserNey, texts: list[str | None]) -> tuple[np.ndarray, n
                 flush()
                 waiting = 0
     flush()
+    return sums, lengths
+
+
+def _entropies(model: KneserNey, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """(texts, languages) cross-entropies in nats a character by a model in one piece, and the numbers of characters."""
+    sums, lengths = _sums(model, texts)
     return -sums / np.maximum(lengths, 1)[:, None], lengths
 
 
-def scored(docs: DataFrame, model: KneserNey, ceilings: np.ndarray, keep: list[str], text: str = "text") -> DataFrame:
-    """keep + (lang_pred, entropy, score, rejected): struct columns are carried untouched; ceilings: (languages, length classes)."""
-    shared = docs.sparkSession.sparkContext.broadcast((model, ceilings))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(text).cast("string").alias("_text"))
+def with_entropies(docs: DataFrame, counts: Counts, keep: list[str], text: str = "text") -> DataFrame:
+    """keep + _h array<double>, a cross-entropy per language, and _n, the characters; kept columns travel untouched.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, limits = shared.value
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                entropy, lengths = _entropies(own, part["_text"].to_pylist())
-                none = lengths == 0
-                if own.langs:
-                    best = entropy.argmin(axis=1)
-                    low = entropy[np.arange(len(best)), best]
-                    score = 1 / np.exp(-np.minimum(lengths, 20)[:, None] * (entropy - low[:, None])).sum(axis=1)
-                    names = np.array([*own.langs, "und"], object)[np.where(none, len(own.langs), best)]
-                    rejected = none | (low > limits[best, np.searchsorted(LENGTHS, lengths)])
-                else:
-                    low, score, names, rejected = np.zeros(len(none)), np.zeros(len(none)), np.full(len(none), "und", object), np.ones(len(none), bool)
-                yield pa.record_batch([part["_row"], pa.array(names.tolist(), pa.string()), pa.array(low), pa.array(np.where(none, 0.0, score)), pa.array(rejected)], ["_row", "lang_pred", "entropy", "score", "rejected"])
-
-    found = [StructField("lang_pred", StringType()), StructField("entropy", DoubleType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())]
-    out = rows.mapInArrow(run, StructType([rows.schema["_row"], *found]))
-    return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in keep], "lang_pred", "entropy", "score", "rejected")
-
-
-def trials(docs: DataFrame, model: KneserNey) -> DataFrame:
-    """(lang, class, own, entropy): what docs(text, lang) score under their language, if it is the best, and under the best of the others."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    A model of several shards takes as many passes; texts and sums so far are written between them.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col(text).cast("string").alias("_text"), F.lit(None).cast("array<double>").alias("_sums"))
+    kind = rows.schema["_row"]
+    for shard in range(counts.shards):
+        shared, last, before = docs.sparkSession.sparkContext.broadcast(counts.model(shard)), shard == counts.shards - 1, rows
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 512):
+                    part = batch.slice(at, 512)
+                    sums, lengths = _sums(shared.value, part["_text"].to_pylist())
+                    if part["_sums"].null_count < part.num_rows:
+                        sums = sums + np.array(part["_sums"].to_pylist()).reshape(sums.shape)
+                    width = sums.shape[1]
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (len(sums) + 1) * width, width) if width else np.zeros(len(sums) + 1, np.int64), pa.int32()), pa.array(sums.ravel()))
+                    yield pa.record_batch([part["_row"], pa.array(lengths) if last else part["_text"], lists], ["_row", "_n" if last else "_text", "_sums"])
+
+        middle = StructField("_n", LongType()) if last else StructField("_text", StringType())
+        rows = rows.mapInArrow(run, StructType([kind, middle, StructField("_sums", ArrayType(DoubleType()))]))
+        if not last:
+            rows = checkpointed(rows)
+        if shard > 0 and not last:
+            release(before)
+    entropies = F.transform("_sums", lambda x: -x / F.greatest(F.col("_n"), F.lit(1)))
+    return rows.select(*[F.col(f"_row.`{c}`").alias(c) for c in keep], entropies.alias("_h"), "_n")
+
+
+def length_class() -> Column:
+    out = F.lit(len(LENGTHS) - 1)
+    for i in range(len(LENGTHS) - 2, -1, -1):
+        out = F.when(F.col("_n") <= int(LENGTHS[i]), i).otherwise(out)
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        place = {x: i for i, x in enumerate(model.langs)}
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                entropy, lengths = _entropies(model, part["text"].to_pylist())
-                truth = np.array([place.get(x, -1) for x in part["lang"].to_pylist()])
-                some = np.flatnonzero((lengths > 0) & (truth >= 0))
-                entropy, truth, kind = entropy[some], truth[some], np.searchsorted(LENGTHS, lengths[some])
-                right = np.flatnonzero(entropy.argmin(axis=1) == truth) if len(some) else some
-                out = [(truth[right], kind[right], np.ones(len(right), bool), entropy[right, truth[right]])]
-                if len(model.langs) > 1 and len(some):
-                    entropy[np.arange(len(some)), truth] = np.inf
-                    other = entropy.argmin(axis=1)
-                    out.append((other, kind, np.zeros(len(some), bool), entropy[np.arange(len(some)), other]))
-                lang, kind, own, value = (np.concatenate(x) for x in zip(*out, strict=True))
-                yield pa.record_batch([pa.array([model.langs[i] for i in lang.tolist()], pa.string()), pa.array(kind.astype(np.int32)), pa.array(own), pa.array(value)], ["lang", "class", "own", "entropy"])
-
-    return docs.select(F.col("text").cast("string"), F.col("lang").cast("string")).mapInArrow(run, "lang string, class int, own boolean, entropy double")
+
+def decided(found: DataFrame, langs: list[str], ceilings: np.ndarray, keep: list[str]) -> DataFrame:
+    """keep + (lang_pred, score, rejected) from entropies; ceilings: (languages, length classes)."""
+    if not langs:
+        return found.select(*[F.col(f"`{c}`") for c in keep], F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
+    none, best = F.col("_n") == 0, F.array_position("_h", F.array_min("_h")).cast("int")
+    out = found.withColumns({"_low": F.array_min("_h"), "_best": best})
+    limits = F.array(*[F.lit(float(x)) for x in ceilings.ravel()])
+    limit = F.element_at(limits, (F.col("_best") - 1) * len(LENGTHS) + length_class() + 1)
+    spread = F.aggregate("_h", F.lit(0.0), lambda acc, x: acc + F.exp(-F.least("_n", F.lit(20)) * (x - F.col("_low"))))
+    return out.select(
+        *[F.col(f"`{c}`") for c in keep], F.when(none, "und").otherwise(F.element_at(F.array(*[F.lit(x) for x in langs]), F.col("_best"))).alias("lang_pred"),
+        F.when(none, 0.0).otherwise(1 / spread).alias("score"), (none | (F.col("_low") > limit)).alias("rejected"),
+    )
+
+
+def trials(docs: DataFrame, counts: Counts) -> DataFrame:
+    """(lang, class, own, entropy): what docs(text, lang) score under their language, if it is the best, and under the best of the others."""
+    names = F.array(*[F.lit(x) for x in counts.langs]) if counts.langs else F.array().cast("array<string>")
+    out = with_entropies(docs.withColumn("_truth", F.col("lang").cast("string")), counts, ["_truth"])
+    out = out.withColumn("_at", F.array_position(names, F.col("_truth")).cast("int")).where("_n > 0 and _at > 0")
+    others = F.transform("_h", lambda x, i: F.when(i + 1 == F.col("_at"), float("inf")).otherwise(x))
+    out = out.withColumns({"_others": others, "_right": F.array_position("_h", F.array_min("_h")) == F.col("_at")})
+    name = lambda i: F.element_at(names, i.cast("int"))
+    own = F.when(F.col("_right"), F.struct(F.col("_truth").alias("lang"), F.lit(True).alias("own"), F.array_min("_h").alias("entropy")))
+    far = F.when(F.size("_h") > 1, F.struct(name(F.array_position("_others", F.array_min("_others"))).alias("lang"), F.lit(False).alias("own"), F.array_min("_others").alias("entropy")))
+    return out.select(length_class().alias("class"), F.explode(F.array_compact(F.array(own, far))).alias("e")).select("e.lang", "class", "e.own", "e.entropy")
 
 
 def ceilings_of(found: DataFrame, langs: list[str], least: float, sigmas: float, least_texts: int = 20) -> np.ndarray:
@@ -358,18 +408,15 @@ def ceilings_of(found: DataFrame, langs: list[str], least: float, sigmas: float,
     return out
 
 
-def identify(docs: DataFrame, learn: Column, keep: list[str], least: float = 8.0, sigmas: float = 12.0) -> DataFrame:
+def identify(docs: DataFrame, learn: Column, keep: list[str], least: float = 8.0, sigmas: float = 12.0, cells: int = CELLS) -> DataFrame:
     """keep + (lang_pred, score, rejected) for every row of docs(text, lang).
 
     ``learn`` marks the rows whose text and lang may be learned from; the ceilings of
     rejection come from the tenth of them that the trial model left out.
-    ``keep`` names the columns to carry.
+    ``keep`` names the columns to carry; ``cells`` bounds what a model holds in memory at a time.
     """
     known = docs.where(learn).where("lang is not null and text is not null")
-    counts = checkpointed(counted(known))
-    trial = model_of(counts, "n_trial")
-    found = trials(known.where(trial_fold()), trial)
-    langs = [r["lang"] for r in counts.select("lang").distinct().orderBy("lang").collect()]
-    ceilings = ceilings_of(found, langs, least, sigmas)
-    del trial
-    return scored(docs, model_of(counts, "n"), ceilings, keep).drop("entropy")
+    table = checkpointed(counted(known))
+    trial, full = Counts(table, "n_trial", cells), Counts(table, "n", cells)
+    ceilings = ceilings_of(trials(known.where(trial_fold()), trial), full.langs, least, sigmas)
+    return decided(with_entropies(docs, full, keep), full.langs, ceilings, keep)

@@ -283,6 +283,21 @@ def test_rejection_of_an_unseen_language(spark):
     assert sum(alien) / len(alien) > 0.95 and sum(own) / len(own) < 0.01
 
 
+def test_shards_add_up_to_the_whole_model(spark):
+    df = spark.createDataFrame(language_rows(n=400) + [(900, None, "aa"), (901, "!", None), (902, "ção the über", None)], "doc_id bigint, text string, lang string")
+    counts = langid.counted(df.where("lang is not null and text is not null")).cache()
+    whole, cut = langid.Counts(counts, "n", 1 << 40), langid.Counts(counts, "n", 300)
+    assert whole.shards == 1 < 4 < cut.shards
+    sizes = [len(cut.model(i).keys[-1]) for i in range(cut.shards)]
+    assert sum(sizes) == len(whole.model().keys[-1]) and max(sizes) < sum(sizes) / 2
+    one, many = ({r.doc_id: (r._h, r._n) for r in langid.with_entropies(df, c, ["doc_id"]).collect()} for c in (whole, cut))
+    assert set(one) == set(many)
+    for i, (h, n) in one.items():
+        assert many[i] == (pytest.approx(h, abs=1e-6), n)
+    answers = [sorted((r.doc_id, r.lang_pred, r.rejected) for r in langid.identify(df, F.lit(True), ["doc_id"], cells=c).collect()) for c in (1 << 40, 300)]
+    assert answers[0] == answers[1]
+
+
 def test_trial_counts_leave_a_tenth_out(spark):
     df = spark.createDataFrame([(t, lang) for _, t, lang in language_rows()], "text string, lang string")
     sums = langid.counted(df).groupBy().sum("n", "n_trial").first()

@@ -137,7 +137,7 @@ def test_quality_and_language_stages_row_by_row(spark, stages):
     assert {r.doc_id for r in stages["quality"].collect()} == good
     known = stages["quality"].where("lang is not null and text is not null")
     counts = langid.counted(known)
-    trial, full = langid.model_of(counts, "n_trial"), langid.model_of(counts, "n")
+    trial, full = langid.Counts(counts, "n_trial", 1 << 40), langid.Counts(counts, "n", 1 << 40).model()
     ceilings = langid.ceilings_of(langid.trials(known.where(langid.trial_fold()), trial), full.langs, 8.0, 12.0)
     kept = set()
     for r in stages["quality"].collect():
