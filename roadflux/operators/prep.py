@@ -89,16 +89,16 @@ def prepare(pings: DataFrame, users: int | None = None) -> DataFrame:
 def gaps(pings: DataFrame) -> DataFrame:
     """Raw pings (UTC clock) with gap_s, the seconds since the same id's ping before; first pings go.
 
-    The window is the id's day; days are then joined end to end over one row a
-    day, so an id with any number of pings is never one task.
+    The window is the id's hour; hours are then joined end to end over one row an
+    hour, so an id with any number of pings is never one task.
     """
     name = time_column(pings)
-    rows = pings.withColumn("ts_utc", clock.utc_instant(pings, name)).withColumn("_day", F.to_date("ts_utc"))
-    day = Window.partitionBy("caid", "_day").orderBy("ts_utc", "ping_seq")
-    rows = rows.withColumn("_before", F.lag("ts_utc").over(day))
-    days = rows.groupBy("caid", "_day").agg(F.max("ts_utc").alias("_last"))
-    ends = days.withColumn("_carry", F.lag("_last").over(Window.partitionBy("caid").orderBy("_day"))).drop("_last")
-    first = rows.where("_before is null").join(ends, ["caid", "_day"]).withColumn("_before", F.col("_carry")).drop("_carry")
+    rows = pings.withColumn("ts_utc", clock.utc_instant(pings, name)).withColumn("_hour", F.date_trunc("hour", "ts_utc"))
+    hour = Window.partitionBy("caid", "_hour").orderBy("ts_utc", "ping_seq")
+    rows = rows.withColumn("_before", F.lag("ts_utc").over(hour))
+    hours = rows.groupBy("caid", "_hour").agg(F.max("ts_utc").alias("_last"))
+    ends = hours.withColumn("_carry", F.lag("_last").over(Window.partitionBy("caid").orderBy("_hour"))).drop("_last")
+    first = rows.where("_before is null").join(ends, ["caid", "_hour"]).withColumn("_before", F.col("_carry")).drop("_carry")
     both = rows.where("_before is not null").unionByName(first)
     both = both.withColumn("gap_s", clock.seconds_between(F.col("_before"), F.col("ts_utc")))
-    return both.where("gap_s is not null").drop("_before", "_day")
+    return both.where("gap_s is not null").drop("_before", "_hour")

@@ -160,15 +160,16 @@ def driving_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(routing.legs(candidates.with_candidates(materialize(segmented(spark, sf_dir).withColumn("mode", F.lit("Carro"))), edges, nodes)))
 
 
-def fixed_steps(spark: SparkSession) -> DataFrame:
-    """Edges of straight lattice rows as if they were chosen routes, with several times and limits."""
-    ids = spark.range(48).select(F.col("id").alias("row"), F.floor(F.col("id") / 4).alias("r"), (F.col("id") % 4).alias("q"))
+def fixed_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges of straight lattice rows as if they were chosen routes, one for every event, with several times and limits."""
+    ids = fx.table(spark, sf_dir, "events").select(F.col("event_id").alias("row"), F.floor(F.col("event_id") % 48 / 4).alias("r"), (F.col("event_id") % 4).alias("q"))
     path = F.sequence(F.col("r") * 22, F.col("r") * 22 + 5 + F.col("q") * 5)
     routes = ids.withColumn("path", path).withColumns({"graph": F.lit("drive"), "u": F.element_at("path", 1), "v": F.element_at("path", -1)})
     facts = routes.select("row", "graph", "u", "v", (F.lit(20.0) + F.col("row") * 17 % 211).alias("leg_s"), F.when(F.col("q") == 0, 15.0).otherwise(100.0).alias("limit_kmh"), (F.col("row") % 5 == 0).alias("too_fast"))
     edges = fx.lattice_edges(spark)
-    each = paths.path_edges(routes.select("graph", "u", "v", "path"), edges)
-    out = facts.join(each, ["graph", "u", "v"]).join(paths.path_lengths(routes.select("graph", "u", "v", "path"), edges), ["graph", "u", "v"])
+    distinct = routes.select("graph", "u", "v", "path").distinct()
+    each = paths.path_edges(distinct, edges)
+    out = facts.join(each, ["graph", "u", "v"]).join(paths.path_lengths(distinct, edges), ["graph", "u", "v"])
     start = F.timestamp_add("MINUTE", F.col("row"), F.lit("2024-01-01 06:00:00").cast("timestamp_ntz"))
     return out.withColumns({"caid": F.lit("x"), "date": F.lit("2024-01-01").cast("date"), "local_timestamp": start})
 
@@ -213,13 +214,13 @@ def complete_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def edge_time_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = routing.with_clock(routing.allocate(fixed_steps(spark)))
+    out = routing.with_clock(routing.allocate(fixed_steps(spark, sf_dir)))
     return out.select("row", "i", *r6("alloc_s", "edge_kmh"), micro("edge_time", "edge_time"))
 
 
 @query
 def route_physics_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return routing.correct(routing.allocate(fixed_steps(spark))).select("row", "i", *r6("speed_out", "distance_m"), "failed", "corrected")
+    return routing.correct(routing.allocate(fixed_steps(spark, sf_dir))).select("row", "i", *r6("speed_out", "distance_m"), "failed", "corrected")
 
 
 @query

@@ -190,7 +190,7 @@ def pct(part: str, whole: str) -> str:
     return f"CASE WHEN {whole} > 0 THEN {part} * 100e0 / {whole} ELSE 0 END"
 
 
-FIXED = """ids AS (SELECT range AS row, range // 4 AS r, range % 4 AS q FROM range(48)),
+FIXED = """ids AS (SELECT event_id AS row, event_id % 48 // 4 AS r, event_id % 4 AS q FROM events),
     steps_ AS (SELECT row, q, i, r * 22 + i AS a, r * 22 + i + 1 AS b, 5 + q * 5 AS n FROM ids, (SELECT range AS i FROM range(20)) WHERE i < 5 + q * 5),
     st AS (SELECT s.*, e.length, e.travel_time, 20 + row * 17 % 211 AS leg_s, CASE WHEN q = 0 THEN 15e0 ELSE 100e0 END AS lim, row % 5 = 0 AS too_fast, sum(coalesce(travel_time, 0)) OVER (PARTITION BY row) AS ideal
            FROM steps_ s JOIN edges e ON e.graph = 'drive' AND e.u = s.a AND e.v = s.b),

@@ -1,7 +1,8 @@
 """Streaming forms of downsampling and trip segmentation.
 
-Both give what the batch operators give once a day is complete; a user's pings
-must arrive in time order (per user, across batches) for the segmenter.
+Both give what the batch operators give once a day is complete.  The segmenter takes a user's
+pings in time order; one that comes after a later one of its user was taken is left out, as
+its steps have been given already.
 """
 
 from __future__ import annotations
@@ -69,6 +70,8 @@ class _Day:
 
     def arrive(self, caid: str, us: int, seq: int, lat: float, lon: float) -> list[tuple]:
         day, out = str(pd.Timestamp(us, unit="us").date()), []
+        if self.last_seq >= 0 and us < self.last_us:
+            return out  # late: neither the running day nor the held step may go back
         if day != self.day:
             out += self.release(caid, None)
             self.__init__(_EMPTY)
