@@ -53,6 +53,12 @@ def parsed(messages: DataFrame) -> DataFrame:
     The lines of messages that quote are written first: an optimiser that inlined them
     into the lambdas below would split the text again for every line of it.
     """
+    plain, quoting = _parted(messages)
+    return plain.unionByName(quoting)
+
+
+def _parted(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``parsed`` in two parts: the messages without a quotation, and those with one."""
     names, empty = ["conv_id", "turn", "role", "reply", "passages", "levels"], F.array().cast("array<struct<level: int, text: string>>")
     rows = messages.select("conv_id", "turn", "role", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     quoting = F.col("text").rlike(r"(?m)^[ \t]*>")
@@ -68,7 +74,7 @@ def parsed(messages: DataFrame) -> DataFrame:
     )
     own = F.array_join(F.filter("line", lambda x, i: F.element_at("at_level", i + 1) == 0), "\n")
     out = out.withColumns({"reply": F.regexp_replace(own, r"^\n+|\n+$", ""), "passages": F.filter(runs, lambda x: x.level > 0), "levels": F.array_max("at_level")})
-    return plain.unionByName(out.select(*names))
+    return plain, out.select(*names)
 
 
 def _keys(text: Column, whole: Column) -> Column:
@@ -78,17 +84,19 @@ def _keys(text: Column, whole: Column) -> Column:
 
 
 def linked(messages: DataFrame, least_chars: int = 8) -> DataFrame:
-    """(conv_id, turn, role, reply, levels, n_quotes, parent_conv, parent_turn, thread_turn, depth), reply-ordered."""
-    rows = parsed(messages)
-    known = rows.where("conv_id is not null and turn is not null")
+    """(conv_id, turn, role, reply, levels, n_quotes, parent_conv, parent_turn, thread_turn, depth), reply-ordered.
+
+    messages is read for the quotations, for the originals and for the result; one that is costly to make should be materialised.
+    """
+    plain, quoting = _parted(messages)
+    rows, both_known = plain.unionByName(quoting), "conv_id is not null and turn is not null"
+    known = rows.where(both_known)
     form_ok = F.length("key.form") > 0
-    quotes = known.where("levels > 0").select("conv_id", "turn", F.explode("passages").alias("p"))
+    quotes = quoting.where(both_known).select("conv_id", "turn", F.explode("passages").alias("p"))
     quotes = quotes.select("conv_id", "turn", "p.level", F.explode(_keys(F.col("p.text"), normal(F.col("p.text")))).alias("key")).where(form_ok)
     quotes = checkpointed(quotes.select("conv_id", "turn", "level", "key.rank", F.xxhash64("key.form").alias("hash"), F.length("key.form").alias("chars")).distinct())
     if quotes.isEmpty():
-        blank = F.lit(None).cast("bigint")
-        out = rows.withColumns({"parent_conv": blank, "parent_turn": blank, "thread_turn": F.col("turn"), "depth": F.lit(0)})
-        return _ordered(out)
+        return _ordered(_alone(rows))
 
     # only what is quoted somewhere is kept of the originals
     wanted = quotes.select("hash", "chars").distinct().select(rekey("hash"), "chars")
@@ -111,8 +119,20 @@ def linked(messages: DataFrame, least_chars: int = 8) -> DataFrame:
 
     roots = threads(parents.where("parent_conv = conv_id").select("conv_id", "turn", "parent_turn"))
     facts = parents.join(roots, ["conv_id", "turn"], "left")
-    out = rows.join(facts, ["conv_id", "turn"], "left").withColumns({"thread_turn": F.coalesce("thread_turn", "turn"), "depth": F.coalesce("depth", F.lit(0))})
-    return _ordered(out)
+    # a message that quotes nothing has no link, unless it shares its turn with one that does; only then its text travels to the facts
+    shared = checkpointed(facts.join(plain.select("conv_id", "turn"), ["conv_id", "turn"], "left_semi"))
+    out = _alone(plain) if shared.isEmpty() else _with_facts(plain, shared)
+    return _ordered(out.unionByName(_with_facts(quoting, facts)))
+
+
+def _alone(rows: DataFrame) -> DataFrame:
+    """rows as threads of their own."""
+    blank = F.lit(None).cast("bigint")
+    return rows.withColumns({"parent_conv": blank, "parent_turn": blank, "thread_turn": F.col("turn"), "depth": F.lit(0)})
+
+
+def _with_facts(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    return rows.join(facts, ["conv_id", "turn"], "left").withColumns({"thread_turn": F.coalesce("thread_turn", "turn"), "depth": F.coalesce("depth", F.lit(0))})
 
 
 def threads(parents: DataFrame) -> DataFrame:

@@ -76,20 +76,23 @@ def op9_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quoting(conversations: DataFrame) -> DataFrame:
-    """The conversations with replies that quote: the turn before, two levels of turns, or the next conversation's opening."""
-    known = conversations.where("conv_id is not null and turn is not null")
-    said = known.groupBy("conv_id", "turn").agg(F.min("text").alias("said"))
+    """The conversations with replies that quote: the turn before, two levels of turns, or the next conversation's opening.
+
+    Every kind of reply is joined to the turns that it quotes only; a turn before is quoted by another kind of reply, so no text travels in vain.
+    """
+    rows = conversations.select("conv_id", "turn", "role", F.col("text").cast("string").alias("text")).withColumn("kind", F.coalesce(F.col("turn") % 4, F.lit(0)))
+    said = rows.where("conv_id is not null and kind in (0, 1)").groupBy("conv_id", "turn").agg(F.min("text").alias("said"))
     before = lambda n, name: said.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("said").alias(name))
-    opening = said.where("turn = 0").select((F.col("conv_id") - 1).alias("conv_id"), F.col("said").alias("o"))
-    out = conversations.join(before(1, "a"), ["conv_id", "turn"], "left").join(before(2, "b"), ["conv_id", "turn"], "left").join(opening, "conv_id", "left")
-    text, kind = F.coalesce("text", F.lit("")), F.col("turn") % 4
+    opening = rows.where("turn = 0 and conv_id is not null").groupBy("conv_id").agg(F.min("text").alias("said")).select((F.col("conv_id") - 1).alias("conv_id"), F.substring_index("said", "\n", 1).alias("o"))
+    text = F.coalesce("text", F.lit(""))
     marked = lambda name, first, other: F.concat(F.lit(first), F.replace(F.col(name), F.lit("\n"), F.lit("\n" + other)), F.lit("\n"))
-    made = (
-        F.when((kind == 1) & F.col("a").isNotNull(), F.concat(marked("a", "> ", "> "), text))
-        .when((kind == 2) & F.col("a").isNotNull() & F.col("b").isNotNull(), F.concat(marked("b", ">> ", "> > "), marked("a", ">", "> "), text))
-        .when((kind == 3) & F.col("o").isNotNull(), F.concat(text, F.lit("\n> "), F.substring_index("o", "\n", 1), F.lit("\nso I read")))
-    )
-    return out.select("conv_id", "turn", "role", F.coalesce(made, "text").alias("text"))
+    first = rows.where("kind = 1").join(before(1, "a").where("turn % 4 = 1"), ["conv_id", "turn"], "left").withColumn("made", F.concat(marked("a", "> ", "> "), text))
+    second = rows.where("kind = 2").join(before(1, "a").where("turn % 4 = 2"), ["conv_id", "turn"], "left").join(before(2, "b").where("turn % 4 = 2"), ["conv_id", "turn"], "left")
+    second = second.withColumn("made", F.concat(marked("b", ">> ", "> > "), marked("a", ">", "> "), text))
+    third = rows.where("kind = 3").join(opening, "conv_id", "left").withColumn("made", F.concat(text, F.lit("\n> "), F.col("o"), F.lit("\nso I read")))
+    rest = rows.where("kind not in (1, 2, 3)").withColumn("made", F.col("text"))
+    out = [part.select("conv_id", "turn", "role", F.coalesce("made", "text").alias("text")) for part in (rest, first, second, third)]
+    return checkpointed(out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3]))
 
 
 def quoted_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,3 +98,13 @@ def test_native_and_long(spark):
     assert row.reply == "end" and row.n_quotes == 1
     assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
     assert parsed(frame(spark, ROWS[:3])).columns == ["conv_id", "turn", "role", "reply", "passages", "levels"]
+
+
+def test_a_plain_message_that_shares_its_turn_with_a_quoting_one(spark):
+    """Links belong to (conv_id, turn): both rows of the turn carry them, with and without other plain rows beside."""
+    line = "a sentence that several people write"
+    rows = [(1, 0, "user", line), (1, 1, "user", f"> {line}\nyes"), (1, 1, "assistant", "no"), (1, 2, "user", "well"), (None, 1, "user", "x"), (2, None, "user", f"> {line}")]
+    got = {(r.conv_id, r.turn, r.role): (r.parent_turn, r.thread_turn, r.depth) for r in linked(frame(spark, rows)).collect()}
+    assert got[1, 1, "user"] == got[1, 1, "assistant"] == (0, 0, 1)
+    assert got[1, 2, "user"] == (None, 2, 0) and got[1, 0, "user"] == (None, 0, 0)
+    assert got[None, 1, "user"] == (None, 1, 0) and got[2, None, "user"] == (None, None, 0)
