@@ -11,7 +11,8 @@ by host suffix and path prefix, so any number of rules will do.
 
 Link targets are resolved as a browser would: entities are decoded, a scheme
 counts at the start only, ``//host``, ``/path``, ``?query`` and relative paths
-follow the page, ``.`` and ``..`` are removed.  All links of a page count.
+follow the page, or the first ``base`` element that has an address, ``.`` and ``..``
+are removed.  All links of a page count.
 
 Defined cases: a null url or one without ``://`` has empty host and path, no
 rule, no aliases and verdict allow.  A null html has no links; self-links, links to a place
@@ -103,20 +104,33 @@ def link_targets(pages: DataFrame) -> DataFrame:
     target = lambda tag, name: F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*[\"']?([^\"'\s>]+)", 1)
     tags = F.concat(F.transform(links, lambda x: target(x, "href")), F.transform(metas, lambda x: target(x, "url")))
     likely = F.lower("html").rlike("http-equiv|canonical")
-    to = reduce(lambda out, e: F.regexp_replace(out, f"&{e[0]};", e[1]), ENTITIES, F.col("tag"))
-    found = pages.where(F.col("url").contains("://") & likely).select("url", F.explode(tags).alias("tag")).select("url", to.alias("to"))
-    found = found.where((F.col("to") != "") & ~F.col("to").startswith("#") & (F.col("to").rlike("^[A-Za-z][A-Za-z0-9+.-]*://") | ~F.col("to").rlike("^[A-Za-z][A-Za-z0-9+.-]*:")))
-    found = with_parts(found, "url").withColumn("scheme", F.substring_index("url", "://", 1))
-    root = F.concat("scheme", F.lit("://"), "host")
-    folder = F.concat(F.lit("/"), F.regexp_replace(F.regexp_replace("path", "[^/]*$", ""), "^/", ""))
+    decoded = lambda name: reduce(lambda out, e: F.regexp_replace(out, f"&{e[0]};", e[1]), ENTITIES, F.col(name)).alias(name)
+    base = F.regexp_extract("html", r"(?is)<base\b[^>]*\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    found = pages.where(F.col("url").contains("://") & likely).select("url", base.alias("base"), F.explode(tags).alias("to")).select("url", decoded("base"), decoded("to"))
+    found = found.where((F.col("to") != "") & ~F.col("to").startswith("#") & _web("to"))
+    found = _resolved(found, "url", "base", "from")
+    found = found.withColumn("from", F.when((F.col("base") != "") & ~F.col("base").startswith("#") & _web("base"), F.col("from")).otherwise(F.col("url")))
+    return _resolved(found, "from", "to", "dst").select(F.col("url").alias("src"), "dst")
+
+
+def _web(to: str) -> Column:
+    """Whether an address is relative or names a place on a host, and is not of another kind (``mailto:``)."""
+    return F.col(to).rlike("^[A-Za-z][A-Za-z0-9+.-]*://") | ~F.col(to).rlike("^[A-Za-z][A-Za-z0-9+.-]*:")
+
+
+def _resolved(found: DataFrame, url: str, to: str, out: str) -> DataFrame:
+    """found with the column ``out``: the address ``to`` as seen from ``url``."""
+    parts = with_parts(found, url, "_").withColumn("_scheme", F.substring_index(url, "://", 1))
+    root = F.concat("_scheme", F.lit("://"), "_host")
+    folder = F.concat(F.lit("/"), F.regexp_replace(F.regexp_replace("_path", "[^/]*$", ""), "^/", ""))
     resolved = (
-        F.when(F.col("to").rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), F.col("to"))
-        .when(F.col("to").startswith("//"), F.concat("scheme", F.lit(":"), "to"))
-        .when(F.col("to").startswith("/"), F.concat(root, "to"))
-        .when(F.col("to").startswith("?"), F.concat(root, F.when(F.col("path") == "", "/").otherwise(F.col("path")), "to"))
-        .otherwise(F.concat(root, folder, "to"))
+        F.when(F.col(to).rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), F.col(to))
+        .when(F.col(to).startswith("//"), F.concat("_scheme", F.lit(":"), to))
+        .when(F.col(to).startswith("/"), F.concat(root, to))
+        .when(F.col(to).startswith("?"), F.concat(root, F.when(F.col("_path") == "", "/").otherwise(F.col("_path")), to))
+        .otherwise(F.concat(root, folder, to))
     )
-    return found.select(F.col("url").alias("src"), resolved.alias("dst"))
+    return parts.select(*found.columns, resolved.alias(out))
 
 
 def judged(pages: DataFrame, rules: Rules, redirects: DataFrame | None = None) -> DataFrame:
