@@ -104,16 +104,6 @@ def test_targets(spark):
     assert {r.dst for r in link_targets(pages(spark, rows)).collect()} == {"https://h.info/r", "https://o.info/s", "https://h.info/d/f", "http://z.info/?q"}
 
 
-def test_targets_follow_the_base_element(spark):
-    base = lambda to: f"<BASE target=_top href='{to}'>"
-    cases = [
-        ("http://o.info/a/b", "c", "http://o.info/a/c"), ("/a/", "c", "https://h.info/a/c"), ("a/", "c", "https://h.info/d/a/c"), ("//o.info/a/?x&amp;y", "/c", "https://o.info/c"),
-        ("?q", "?r", "https://h.info/d/e?r"), ("#x", "c", "https://h.info/d/c"), ("mailto:x@y", "c", "https://h.info/d/c"), ("", "c", "https://h.info/d/c"), ("http://o.info", "http://z.info/", "http://z.info/"),
-    ]
-    rows = [(i, "https://h.info/d/e?x=1", base(b) + base("http://second.info/") * bool(b) + canon(to)) for i, (b, to, _) in enumerate(cases)]
-    assert sorted(r.dst for r in link_targets(pages(spark, rows)).collect()) == sorted(want for _, _, want in cases)
-
-
 def test_nothing_and_native(spark):
     df = judged(pages(spark, [(1, None, None)]).limit(0), RULES)
     assert df.count() == 0
